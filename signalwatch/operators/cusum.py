@@ -10,6 +10,9 @@ calendar, not by the data volume. The fold runs inside the JVM as a
 higher-order ``aggregate`` over the site's month-sorted array: one shuffle by
 site, no Python, no per-row driver work. A missing k or h2 (missing inputs,
 see N6) gives a NULL statistic for that month and restarts the chain at 0.
+The accumulator is cast to a nullable array type: inside ``aggregate`` an
+``array(0D)`` start value is typed non-nullable and an appended NULL would
+silently turn into 0.0.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from signalwatch.functions.rounding import round6
 
 _STEP = """
 slice(
-  aggregate(rows, array(0D), (acc, r) ->
+  aggregate(rows, CAST(array(0D) AS ARRAY<DOUBLE>), (acc, r) ->
     array_append(acc,
       CASE WHEN r.k IS NULL OR r.h2 IS NULL THEN CAST(NULL AS DOUBLE)
            ELSE greatest(0D,

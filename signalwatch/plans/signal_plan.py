@@ -25,7 +25,7 @@ class SignalFlow:
 
     def __init__(self, events: DataFrame, denoms: DataFrame, rates: DataFrame, provider: DataFrame,
                  params: SignalParams, old_register=None, holidays: DataFrame | None = None,
-                 persist: bool = False):
+                 persist: bool = True):
         self.events_in, self.denoms_in, self.rates, self.provider = events, denoms, rates, provider
         self.p = params
         self.persist = persist

@@ -22,7 +22,7 @@ def source_flow(spark: SparkSession, sf_dir: str, fast: bool = False, persist: b
 
 
 def signal_flow(spark: SparkSession, sf_dir: str, fixed=FIXED_H, fast: bool = True,
-                persist: bool = False, src: SourceFlow | None = None) -> SignalFlow:
+                persist: bool = True, src: SourceFlow | None = None) -> SignalFlow:
     src = src or source_flow(spark, sf_dir, fast=fast, persist=persist)
     return _signal_from_source(src, fixed, persist)
 
