@@ -52,13 +52,15 @@ def with_month_tooltip(cusum: DataFrame, events: DataFrame) -> DataFrame:
     return j.withColumn("Events_Desc", F.coalesce(F.col("Events_Desc"), F.lit("No events")))
 
 
-def recency_flags(df: DataFrame) -> DataFrame:
+def recency_flags(df: DataFrame, latest=None) -> DataFrame:
     """Level 1/2 within the last 6 (<= 5 months back) and 12 (<= 11) months of the latest chart month.
 
     The latest month is a global scalar (scalar subquery), not an
-    unpartitioned window.
+    unpartitioned window. Callers that know a cheaper source of the same value
+    (the newest month of the monthly counts) pass it as ``latest``.
     """
-    latest = df.agg(F.max("Cusum_Period")).scalar()
+    if latest is None:
+        latest = df.agg(F.max("Cusum_Period")).scalar()
     back = months_apart(F.col("Cusum_Period"), latest)
     lvl = F.col("Level_of_Signal")
     w6, w12 = back <= 5, back <= 11
@@ -95,8 +97,9 @@ def threshold_rows(out: DataFrame) -> DataFrame:
     month]; a start before the window becomes 'Ref_End' with marker level 3
     (level 1) or 4 (level 2) and a label, all others are 'Ref' with level 0.
     """
-    lo = F.date_sub(out.agg(F.min("Date")).scalar(), 1)
-    hi = F.last_day(out.agg(F.max("Date")).scalar())
+    span = out.agg(F.struct(F.min("Date").alias("lo"), F.max("Date").alias("hi"))).scalar()
+    lo = F.date_sub(span.getField("lo"), 1)
+    hi = F.last_day(span.getField("hi"))
     y = F.year("Date")
     t = (out.select("Site_Code", F.make_date(y, F.lit(1), F.lit(1)).alias("Start_Date"),
                     F.make_date(y, F.lit(12), F.lit(31)).alias("End_Date"), "Level1_Threshold", "Level2_Threshold")

@@ -53,8 +53,9 @@ def quality_gates(new_counts: DataFrame, unmapped_tot: DataFrame, current: DataF
     aggregation on every partition, one tiny final merge); nothing is collected
     by this function. ``raise_on_failure`` acts on the row at the edge.
     """
-    c = unmapped_tot.agg(F.count_if(F.col("Deceased_Type_Flag").isNotNull())).scalar()
-    d = unmapped_tot.agg(F.count_if(F.col("Total") > min_births)).scalar()
+    ut = unmapped_tot.agg(F.struct(F.count_if(F.col("Deceased_Type_Flag").isNotNull()).alias("c"),
+                                   F.count_if(F.col("Total") > min_births).alias("d"))).scalar()
+    c, d = ut.getField("c"), ut.getField("d")
     latest = current.agg(F.max("date_of_birth")).scalar()
     return new_counts.agg(
         F.count_if((F.col("Total") > min_births) & (F.col("Current_Trust") == 0)).alias("new_site_over_min_births"),

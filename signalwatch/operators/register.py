@@ -12,8 +12,11 @@ from signalwatch.operators.workdays import add_working_days
 
 
 def signal_register(final: DataFrame) -> DataFrame:
-    """This run's signals, ID = site-'Month yyyy'-level. The ID parts are also
-    kept as columns so nothing has to split the ID later."""
+    """This run's signals, ID = site-'Month yyyy'-level.
+
+    ``final`` is the final table or any table holding its CUSUM rows with the
+    same columns (the monthly chart rows with site names give the same rows:
+    each CUSUM row sits on exactly one day of its month's daily line)."""
     s = final.filter(F.col("Level_of_Signal").isin(1, 2) & (F.col("Line_Type") == "CUSUM"))
     return s.select(F.concat_ws("-", "Site_Code", "Date_of_signal", F.col("Level_of_Signal").cast("string")).alias("ID"),
                     "Site_Code", "Site_Name", "ODS_Code", "ODS_Name")
@@ -43,17 +46,22 @@ def compare_formatted(compare: DataFrame) -> DataFrame:
 
 def with_notifications(final: DataFrame, formatted: DataFrame, holidays: DataFrame, n: int = 8) -> DataFrame:
     """L22 + L23: notify flag and date on the signal's own row (never on reset rows),
-    and the checklist due date n working days after the notification."""
-    f = formatted.select(F.col("Site_Code").alias("f_site"), F.col("Date_of_signal").alias("f_dos"),
-                         F.col("Site_Name").alias("f_name"), F.col("Email_Trust").alias("f_email"),
-                         F.col("Date_Email").alias("f_date"))
+    and the checklist due date n working days after the notification.
+
+    The due date is worked out on the small per-signal table first, so the
+    large final table is joined once.
+    """
+    f = add_working_days(formatted, "Date_Email", n, holidays, "due")
+    f = f.select(F.col("Site_Code").alias("f_site"), F.col("Date_of_signal").alias("f_dos"),
+                 F.col("Site_Name").alias("f_name"), F.col("Email_Trust").alias("f_email"),
+                 F.col("Date_Email").alias("f_date"), F.col("due").alias("f_due"))
     cond = ((final.Site_Code == f.f_site) & (final.Date_of_signal == f.f_dos) & (final.Site_Name == f.f_name))
     j = final.join(f, cond, "left")
     not_reset = F.col("Reset_Flag") != "Reset"
-    j = j.select(*[F.col(c) for c in final.columns],
-                 F.when((F.col("f_email") == 1) & not_reset, 1).otherwise(0).alias("Email_Trust"),
-                 F.when(not_reset, F.col("f_date")).alias("Date_Email"))
-    return add_working_days(j, "Date_Email", n, holidays, "Date_Checklist")
+    return j.select(*[F.col(c) for c in final.columns],
+                    F.when((F.col("f_email") == 1) & not_reset, 1).otherwise(0).alias("Email_Trust"),
+                    F.when(not_reset, F.col("f_date")).alias("Date_Email"),
+                    F.when(not_reset, F.col("f_due")).alias("Date_Checklist"))
 
 
 def register_dropped(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -66,7 +74,11 @@ def register_dropped(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def register_lowered(dropped: DataFrame, final: DataFrame) -> DataFrame:
-    """Vanished signals whose month now stands at a lower level (reset rows out)."""
+    """Vanished signals whose month now stands at a lower level (reset rows out).
+
+    Only rows whose month label matches can join, i.e. the CUSUM and reset rows
+    of the final table; the monthly chart rows are therefore an equivalent,
+    much smaller ``final``."""
     f = final.select(F.col("Site_Code").alias("f_site"), F.col("Date_of_signal").alias("f_dos"),
                      "Reset_Flag", "Level_of_Signal")
     j = dropped.join(f, (dropped.Site_Code == f.f_site) & (dropped.Date_of_signal == f.f_dos), "left")

@@ -14,10 +14,10 @@ the chain would need more than ``max_states`` states, and the next coarser
 step is used. Level 1 fixes k; each level reports the h of its own first
 successful step.
 
-Spark side: only the distinct in-control means are solved (a few dozen per
-run, bounded by the 0.01 rounding of ic); they are hash-partitioned over the
-cluster and each task solves its share with numpy in ``mapInPandas``. The
-result is joined back by ic.
+Spark side: only the distinct in-control means are solved (a few hundred at
+most, bounded by the 0.01 rounding of ic); they are spread round-robin over
+the cluster's cores and each task solves its share with numpy in
+``mapInPandas``. The result is joined back by ic.
 """
 
 from __future__ import annotations
@@ -128,8 +128,12 @@ def threshold_table(params: DataFrame, l1_arl: float = L1_ARL, l2_arl: float = L
     """L6 as a Spark job: distinct ic -> (ic, k, h_L1, h_L2) solved in parallel."""
     _ship_by_value()
     ics = params.select(F.col("inControlCount").alias("ic")).filter(F.col("ic").isNotNull()).distinct()
-    n = partitions or int(params.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ics = ics.repartition(n, "ic")
+    # A user-numbered round-robin shuffle: the distinct's own exchange would be
+    # coalesced by AQE into one task (the table is tiny), serializing every
+    # solve. Round-robin spreads the values evenly; Spark sorts before it, so a
+    # retried task gets the same rows.
+    n = partitions or min(params.sparkSession.sparkContext.defaultParallelism, 256)
+    ics = ics.repartition(n)
 
     def solve(batches):
         for pdf in batches:

@@ -53,7 +53,9 @@ def _last_monday(y: Column, month: int) -> Column:
 
 
 def bank_holidays(years: DataFrame, year_col: str = "year") -> DataFrame:
-    """Bank holidays of England for each year in ``years`` (a small DataFrame of years)."""
+    """Bank holidays of England for each year in ``years`` (a small DataFrame of years).
+
+    One array expression per year, exploded: no shuffle."""
     y = F.col(year_col).cast("int")
     jan1 = F.make_date(y, F.lit(1), F.lit(1))
     xmas = F.make_date(y, F.lit(12), F.lit(25))
@@ -66,12 +68,11 @@ def bank_holidays(years: DataFrame, year_col: str = "year") -> DataFrame:
     easter = _easter_sunday(y)
     regular = F.array(new_year, F.date_sub(easter, 2), F.date_add(easter, 1), _first_monday(y, 5),
                       _last_monday(y, 5), _last_monday(y, 8), xmas_obs, boxing_obs)
-    reg = years.select(F.explode(regular).alias("holiday"), y.alias("year"))
     moved = F.array(*[F.lit(d).cast("date") for d in MOVED_AWAY])
-    reg = reg.filter(~F.array_contains(moved, F.col("holiday")))
-    extra = years.select(F.explode(F.array(*[F.lit(d).cast("date") for d in ONE_OFF_HOLIDAYS])).alias("holiday"),
-                         y.alias("year")).filter(F.year("holiday") == F.col("year"))
-    return reg.unionByName(extra).select("holiday").distinct()
+    one_off = F.array(*[F.lit(d).cast("date") for d in ONE_OFF_HOLIDAYS])
+    days = F.array_distinct(F.concat(F.filter(regular, lambda d: ~F.array_contains(moved, d)),
+                                     F.filter(one_off, lambda d: F.year(d) == y)))
+    return years.select(F.explode(days).alias("holiday"))
 
 
 def add_working_days(df: DataFrame, date_col: str, n: int, holidays: DataFrame, out: str) -> DataFrame:
@@ -97,8 +98,6 @@ def add_working_days(df: DataFrame, date_col: str, n: int, holidays: DataFrame,
 
 
 def years_between(df: DataFrame, date_col: str, extra_years: int = 1) -> DataFrame:
-    """Years from the first to the last year of ``date_col`` plus ``extra_years``."""
-    lo = df.agg(F.min(F.year(date_col))).scalar()
-    hi = df.agg(F.max(F.year(date_col))).scalar()
-    return (df.sparkSession.range(1)
-            .select(F.explode(F.sequence(lo, hi + extra_years)).alias("year")))
+    """Years from the first to the last year of ``date_col`` plus ``extra_years`` (one scalar subquery)."""
+    years = df.agg(F.sequence(F.min(F.year(date_col)), F.max(F.year(date_col)) + extra_years)).scalar()
+    return df.sparkSession.range(1).select(F.explode(years).alias("year"))

@@ -205,6 +205,11 @@ def q_threshold_table(spark, d):
     return shared_flows(spark, d)["designed"].threshold_table
 
 
+@query("signal_gates")
+def q_signal_gates(spark, d):
+    return _sig(spark, d).signal_gates
+
+
 # ------------------------------------------------------------- chart
 @query("cusum_reset")
 def q_cusum_reset(spark, d):

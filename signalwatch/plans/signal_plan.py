@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalwatch.operators import cusum, grid, lines, register, thresholds, vlad, workdays
+from signalwatch.functions.dates import month_start, third_last_day
 from signalwatch.params import SignalParams
 from signalwatch.session import materialize
 
@@ -18,9 +19,10 @@ class SignalFlow:
     ``old_register`` is the last run's register, or a callable that derives it
     from this flow (used by the test tables), or None for a first run.
 
-    ``persist=True`` writes the monthly chart rows and the final table to the
-    shared checkpoint folder: both feed several outputs (line set, daily line,
-    register, summary), and the write cuts the lineage for executor loss.
+    ``persist=True`` writes three small tables to the shared checkpoint folder:
+    the month grid with denominators and rates (input of the parameters, the
+    threshold design and the fold), the monthly chart rows and the final table.
+    Each feeds several outputs, and the writes cut the lineage for executor loss.
     """
 
     def __init__(self, events: DataFrame, denoms: DataFrame, rates: DataFrame, provider: DataFrame,
@@ -51,7 +53,8 @@ class SignalFlow:
 
     @cached_property
     def df_for_cusum(self) -> DataFrame:     # L4
-        return grid.attach_reference(self.grid, self.annual, self.rates, self.p.selected_measure)
+        df = grid.attach_reference(self.grid, self.annual, self.rates, self.p.selected_measure)
+        return materialize(df, "month_grid") if self.persist else df
 
     @cached_property
     def control(self) -> DataFrame:          # L5
@@ -68,6 +71,20 @@ class SignalFlow:
             return grid.attach_thresholds(self.df_for_cusum, self.control, fixed=self.p.fixed_thresholds)
         return grid.attach_thresholds(self.df_for_cusum, self.control, thresholds=self.threshold_table)
 
+    @cached_property
+    def signal_gates(self) -> DataFrame:     # N6, N8 reported instead of stopping the run
+        """One row: site-years without a design (missing rate or denominator, ic <= 0),
+        chart months without thresholds, and events at sites without denominators."""
+        missing = self.with_thresholds.agg(
+            F.count_if(F.col("k").isNull() | F.col("h_L2").isNull())).scalar()
+        sites = self.annual.select("Site_Code").distinct()
+        lost = (self.events.join(sites, "Site_Code", "left_anti")
+                .agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar())
+        return self.control.agg(
+            F.count_if(F.col("inControlCount").isNull() | (F.col("inControlCount") <= 0))
+             .alias("site_years_without_design")
+        ).select("*", missing.alias("months_without_threshold"), lost.alias("events_without_denominator"))
+
     # --- chart ---------------------------------------------------------------
     @cached_property
     def cusum(self) -> DataFrame:            # L8
@@ -81,9 +98,17 @@ class SignalFlow:
     def with_tooltip(self) -> DataFrame:     # L11
         return lines.with_month_tooltip(self.levels, self.events)
 
+    @cached_property
+    def latest_chart_date(self):
+        """Chart date of the newest grid month. The grid's months are exactly the
+        months of the monthly counts, so this reads one small aggregate instead
+        of the whole chart."""
+        newest = self.monthly.agg(F.max("year_month")).scalar()
+        return third_last_day(month_start(newest))
+
     @cached_property
     def recency(self) -> DataFrame:          # L12
-        return lines.recency_flags(self.with_tooltip)
+        return lines.recency_flags(self.with_tooltip, self.latest_chart_date)
 
     @cached_property
     def cusum_out(self) -> DataFrame:
@@ -121,9 +146,17 @@ class SignalFlow:
         return materialize(df, "final_table") if self.persist else df
 
     # --- register ----------------------------------------------------------------
+    @cached_property
+    def chart_named(self) -> DataFrame:
+        """Monthly chart rows with site and trust names: the CUSUM rows of the final table."""
+        p = self.provider.select(F.col("Site_Code").alias("ps_site"), "Site_Name",
+                                 F.col("Trust_Code").alias("ODS_Code"), F.col("Trust_Name").alias("ODS_Name"))
+        c = self.cusum_out
+        return c.join(p, c.Site_Code == p.ps_site, "left").drop("ps_site")
+
     @cached_property
     def register(self) -> DataFrame:         # L20
-        return register.signal_register(self.final)
+        return register.signal_register(self.chart_named)
 
     @cached_property
     def old_register(self) -> DataFrame:
@@ -149,7 +182,9 @@ class SignalFlow:
     def holidays(self) -> DataFrame:
         if self._holidays is not None:
             return self._holidays
-        return workdays.bank_holidays(workdays.years_between(self.final, "Date", 1))
+        # years of the daily line (= years of the grid months) and one more
+        return workdays.bank_holidays(workdays.years_between(
+            self.monthly.select(month_start(F.col("year_month")).alias("d")), "d", 1))
 
     @cached_property
     def notified(self) -> DataFrame:         # L22, L23
@@ -162,8 +197,8 @@ class SignalFlow:
 
     @cached_property
     def lowered(self) -> DataFrame:          # L25
-        return register.register_lowered(self.dropped, self.final)
+        return register.register_lowered(self.dropped, self.cusum_out)
 
     @cached_property
     def summary(self) -> DataFrame:          # L26
-        return register.run_summary(self.notified, self.formatted, self.lowered)
+        return register.run_summary(self.final, self.formatted, self.lowered)
