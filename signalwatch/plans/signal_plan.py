@@ -19,10 +19,12 @@ class SignalFlow:
     ``old_register`` is the last run's register, or a callable that derives it
     from this flow (used by the test tables), or None for a first run.
 
-    ``persist=True`` writes three small tables to the shared checkpoint folder:
-    the month grid with denominators and rates (input of the parameters, the
-    threshold design and the fold), the monthly chart rows and the final table.
-    Each feeds several outputs, and the writes cut the lineage for executor loss.
+    ``persist=True`` writes three tables to the shared checkpoint folder: the
+    month grid with denominators and rates (input of the parameters, the
+    threshold design and the fold), the monthly chart rows (input of the line
+    set, the daily line and the register) and the final table with its
+    notification columns (the run's output, read again by the summary). The
+    writes also cut the lineage for executor loss.
     """
 
     def __init__(self, events: DataFrame, denoms: DataFrame, rates: DataFrame, provider: DataFrame,
@@ -142,8 +144,7 @@ class SignalFlow:
 
     @cached_property
     def final(self) -> DataFrame:            # L19
-        df = vlad.final_table(self.vlad_named, self.lines)
-        return materialize(df, "final_table") if self.persist else df
+        return vlad.final_table(self.vlad_named, self.lines)
 
     # --- register ----------------------------------------------------------------
     @cached_property
@@ -188,8 +189,8 @@ class SignalFlow:
 
     @cached_property
     def notified(self) -> DataFrame:         # L22, L23
-        return register.with_notifications(self.final, self.formatted, self.holidays,
-                                           self.p.checklist_working_days)
+        df = register.with_notifications(self.final, self.formatted, self.holidays, self.p.checklist_working_days)
+        return materialize(df, "final_table") if self.persist else df
 
     @cached_property
     def dropped(self) -> DataFrame:          # L24
@@ -201,4 +202,4 @@ class SignalFlow:
 
     @cached_property
     def summary(self) -> DataFrame:          # L26
-        return register.run_summary(self.final, self.formatted, self.lowered)
+        return register.run_summary(self.notified, self.formatted, self.lowered)

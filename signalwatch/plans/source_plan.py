@@ -65,7 +65,9 @@ class SourceFlow:
 
     @cached_property
     def births_by_month(self) -> DataFrame:  # J10
-        return denominators.births_by_month(self.current)
+        df = denominators.births_by_month(self.current)
+        # small (sites x months) and read three times by the densification
+        return materialize(df, "births_by_month") if self.persist else df
 
     @cached_property
     def all_births(self) -> DataFrame:
@@ -73,8 +75,7 @@ class SourceFlow:
 
     @cached_property
     def denoms(self) -> DataFrame:          # J11
-        df = denominators.denoms_complete(self.all_births)
-        return materialize(df, "denoms") if self.persist else df
+        return denominators.denoms_complete(self.all_births)
 
     @cached_property
     def unmapped(self) -> DataFrame:        # K1

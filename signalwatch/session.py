@@ -59,3 +59,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+

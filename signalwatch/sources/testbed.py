@@ -42,12 +42,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _zero_pad(c, width: int):
+    """Decimal text of a non-negative key, zero-padded to at least ``width`` digits
+    (printf's %0Nd; plain ``lpad`` would cut longer keys)."""
+    txt = c.cast("string")
+    return F.when(c < 10 ** width, F.lpad(txt, width, "0")).otherwise(txt)
+
+
 def site_code(nationkey, suppkey):
-    return F.format_string("N%02d%06d", nationkey, suppkey)
+    return F.concat(F.lit("N"), _zero_pad(nationkey, 2), _zero_pad(suppkey, 6))
 
 
 def trust_code(nationkey):
-    return F.format_string("N%02d", nationkey)
+    return F.concat(F.lit("N"), _zero_pad(nationkey, 2))
 
 
 def provider_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,10 +81,12 @@ def births_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(pct == 9, F.lit(FLAG_NEONATAL))
             .when(pct == 8, F.lit(FLAG_NEONATAL_ASSUMED))
             .when(pct == 0, F.lit(FLAG_STILLBIRTH_ASSUMED)))
-    postcode = F.format_string("Brand#%d%d", F.col("l_partkey") % 5 + 1,
-                               F.expr("(l_partkey div 5) % 5") + 1)
+    postcode = F.concat(F.lit("Brand#"), (F.col("l_partkey") % 5 + 1).cast("string"),
+                        (F.expr("(l_partkey div 5) % 5") + 1).cast("string"))
+    # yyyyMMdd text of the ship date (four-digit years)
+    dob = (F.year(ship) * 10000 + F.month(ship) * 100 + F.dayofmonth(ship)).cast("string")
     return j.select(
-        F.date_format(ship, "yyyyMMdd").alias("Dob"),
+        dob.alias("Dob"),
         F.when(F.col("s_nationkey").isNotNull(),
                site_code(F.col("s_nationkey"), F.col("l_suppkey"))).alias("Actual_delivery_Ods_Code"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"),
