@@ -37,14 +37,22 @@ def annual_denominators(denoms: DataFrame, monthly: DataFrame) -> DataFrame:
                  F.avg("Term_Live_Births").alias("Monthly_Term_Live_Births")))
 
 
-def site_month_grid(monthly: DataFrame, annual: DataFrame, max_months: int = 1200) -> DataFrame:
+def site_month_grid(monthly: DataFrame, annual: DataFrame, max_months: int = 1200,
+                    full_calendar: bool = False) -> DataFrame:
     """L3 + C5/C6: every site with denominators x every month with an event anywhere.
 
     The month list is one sorted array from a scalar subquery, bounded by the
     calendar (checked against ``max_months``), exploded per site. Missing counts
-    become 0.
+    become 0. ``full_calendar`` (N7) uses every month from the first to the last
+    month with an event instead, so a month without any event still gets rows.
     """
-    months = monthly.agg(F.array_sort(F.collect_set("year_month"))).scalar()
+    if full_calendar:
+        first = F.to_date(F.concat(F.min("year_month"), F.lit("-01")))
+        last = F.to_date(F.concat(F.max("year_month"), F.lit("-01")))
+        seq = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
+        months = monthly.agg(F.transform(seq, lambda d: F.date_format(d, "yyyy-MM"))).scalar()
+    else:
+        months = monthly.agg(F.array_sort(F.collect_set("year_month"))).scalar()
     guarded = F.when(F.size(months) <= max_months, months).otherwise(
         F.raise_error(F.lit(f"site_month_grid: more than {max_months} months")))
     sites = annual.select("Site_Code").distinct()

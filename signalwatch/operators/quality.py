@@ -77,3 +77,19 @@ def raise_on_failure(gates_row, min_births: int = GATE_MIN_BIRTHS) -> None:
     failed = [GATE_MESSAGES[k].format(n=min_births) for k in GATE_MESSAGES if gates_row[k] and gates_row[k] > 0]
     if failed:
         raise ValueError("; ".join(failed))
+
+
+def mapping_gates(provider: DataFrame, mergers: DataFrame, pmap: DataFrame) -> DataFrame:
+    """Keys of the reference tables that occur more than once.
+
+    A duplicated key makes the left joins of the cleaning chain multiply births
+    (later distinct counts hide it). One row of counts; any count > 0 is worth
+    a look before a run.
+    """
+    def dup(df: DataFrame, *keys: str):
+        return (df.groupBy(*keys).count().filter(F.col("count") > 1)
+                .agg(F.count(F.lit(1))).scalar())
+    return provider.sparkSession.range(1).select(
+        dup(provider, "Site_Code").alias("duplicate_provider_sites"),
+        dup(mergers, "Old_Code").alias("duplicate_merger_codes"),
+        dup(pmap, "Site_Code_Old", "PostCode").alias("duplicate_postcode_keys"))

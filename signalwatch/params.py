@@ -67,6 +67,9 @@ class SignalParams:
     # Upper bound on the number of distinct months a run may hold; guards the
     # month list that is attached to every site (see operators.grid).
     max_months: int = 1200
+    # Chart every month between the first and last event month, not only
+    # months with an event somewhere.
+    full_month_calendar: bool = False
 
 
 @dataclass(frozen=True)

@@ -145,6 +145,11 @@ def q_quality_gates(spark, d):
     return _src(spark, d).gates
 
 
+@query("mapping_gates")
+def q_mapping_gates(spark, d):
+    return _src(spark, d).mapping_gates
+
+
 # ----------------------------------------------------------- grid
 @query("monthly_events")
 def q_monthly_events(spark, d):

@@ -51,7 +51,7 @@ class SignalFlow:
 
     @cached_property
     def grid(self) -> DataFrame:             # L3
-        return grid.site_month_grid(self.monthly, self.annual, self.p.max_months)
+        return grid.site_month_grid(self.monthly, self.annual, self.p.max_months, self.p.full_month_calendar)
 
     @cached_property
     def df_for_cusum(self) -> DataFrame:     # L4
@@ -105,7 +105,7 @@ class SignalFlow:
         """Chart date of the newest grid month. The grid's months are exactly the
         months of the monthly counts, so this reads one small aggregate instead
         of the whole chart."""
-        newest = self.monthly.agg(F.max("year_month")).scalar()
+        newest = self.monthly.agg(F.max("year_month")).scalar()   # also the last month of a full calendar
         return third_last_day(month_start(newest))
 
     @cached_property

@@ -93,6 +93,10 @@ class SourceFlow:
     def new_sites_count(self) -> DataFrame:  # K4
         return quality.new_sites_count(self.new_sites)
 
+    @cached_property
+    def mapping_gates(self) -> DataFrame:   # N13
+        return quality.mapping_gates(self.provider, self.mergers, self.pmap)
+
     @cached_property
     def gates(self) -> DataFrame:           # K5, K6
         return quality.quality_gates(self.new_sites_count, self.unmapped_totals, self.current, self.p.min_births)

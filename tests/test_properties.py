@@ -75,3 +75,27 @@ def test_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["Date", "Site_Code", "Site_Name"]
+
+
+def test_full_month_calendar_option(spark):
+    """With the option, a month without any event still gets grid rows."""
+    from signalwatch.operators.grid import site_month_grid
+    monthly = spark.createDataFrame([("A", "2025-01", 1), ("A", "2025-03", 2)],
+                                    "Site_Code string, year_month string, monthly_count long")
+    annual = spark.createDataFrame([("A", 2024), ("B", 2024)], "Site_Code string, Year int")
+    default = site_month_grid(monthly, annual)
+    full = site_month_grid(monthly, annual, full_calendar=True)
+    assert sorted({r.year_month for r in default.collect()}) == ["2025-01", "2025-03"]
+    rows = {(r.Site_Code, r.year_month): r.numerator for r in full.collect()}
+    assert len(rows) == 6 and rows[("A", "2025-02")] == 0 and rows[("A", "2025-03")] == 2
+
+
+def test_mapping_gates(spark):
+    from signalwatch.operators.quality import mapping_gates
+    prov = spark.createDataFrame([("S1", "a", "T", "t"), ("S1", "b", "T", "t"), ("S2", "c", "T", "t")],
+                                 "Site_Code string, Site_Name string, Trust_Code string, Trust_Name string")
+    merg = spark.createDataFrame([("O1", "N1"), ("O1", "N2")], "Old_Code string, New_Code string")
+    pmap = spark.createDataFrame([("S1", "P", "S2", 1, "x")], "Site_Code_Old string, PostCode string, "
+                                 "Site_Code_New string, Map_using_postcode int, Justification string")
+    g = mapping_gates(prov, merg, pmap).first()
+    assert (g.duplicate_provider_sites, g.duplicate_merger_codes, g.duplicate_postcode_keys) == (1, 1, 0)
