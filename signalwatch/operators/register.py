@@ -38,10 +38,20 @@ def new_register(compare: DataFrame) -> DataFrame:
     return compare.select("ID", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Date_Email")
 
 
+def id_parts(id_col: str = "ID", site_col: str = "Site_Code"):
+    """(month label, level) of an ID 'site-Month yyyy-level', cut with the known site
+    code rather than split on '-', so a site code containing '-' still parses (N16)."""
+    i, site = F.col(id_col), F.col(site_col)
+    level = F.substring_index(i, "-", -1)
+    start = F.length(site) + 2
+    label = F.substring(i, start, F.length(i) - F.length(site) - F.length(level) - 2)
+    return label, level
+
+
 def compare_formatted(compare: DataFrame) -> DataFrame:
     """Per signal: site, month label, site name, notify flag and date."""
-    return compare.select("Site_Code", F.regexp_extract("ID", r"^[^-]*-([^-]*)-", 1).alias("Date_of_signal"),
-                          "Site_Name", "Email_Trust", "Date_Email")
+    label, _ = id_parts()
+    return compare.select("Site_Code", label.alias("Date_of_signal"), "Site_Name", "Email_Trust", "Date_Email")
 
 
 def with_notifications(final: DataFrame, formatted: DataFrame, holidays: DataFrame, n: int = 8) -> DataFrame:
@@ -67,10 +77,8 @@ def with_notifications(final: DataFrame, formatted: DataFrame, holidays: DataFra
 def register_dropped(old: DataFrame, new: DataFrame) -> DataFrame:
     """Old signals without a current one, ID split into its parts."""
     gone = old.join(new.select("ID"), "ID", "left_anti")
-    return gone.select("ID",
-                       F.substring_index("ID", "-", 1).alias("Site_Code"),
-                       F.regexp_extract("ID", r"^[^-]*-([^-]*)-", 1).alias("Date_of_signal"),
-                       F.substring_index("ID", "-", -1).alias("Level_of_Signal_Old"))
+    label, level = id_parts()
+    return gone.select("ID", "Site_Code", label.alias("Date_of_signal"), level.alias("Level_of_Signal_Old"))
 
 
 def register_lowered(dropped: DataFrame, final: DataFrame) -> DataFrame:

@@ -99,3 +99,32 @@ def test_mapping_gates(spark):
                                  "Site_Code_New string, Map_using_postcode int, Justification string")
     g = mapping_gates(prov, merg, pmap).first()
     assert (g.duplicate_provider_sites, g.duplicate_merger_codes, g.duplicate_postcode_keys) == (1, 1, 0)
+
+
+def test_ties_to_even_rounding(spark):
+    """Parameters round ties to even (R's rule), unlike Spark's round()."""
+    from signalwatch.functions.rounding import round_half_even, round_to_step
+    r = spark.range(1).select(round_half_even(F.lit(0.125), 2).alias("a"), round_half_even(F.lit(2.5), 0).alias("b"),
+                              round_to_step(F.lit(0.605), 0.01).alias("c"), F.round(F.lit(2.5), 0).alias("d")).first()
+    assert (r.a, r.b, r.d) == (0.12, 2.0, 3.0)
+    assert round(r.c, 2) == 0.6
+
+
+def test_unknown_outcome_label(spark):
+    """A NULL or unexpected code is labelled 'Unknown'; HIE keeps its label."""
+    from signalwatch.operators.lines import event_tooltip
+    from signalwatch.params import MONTH_LABELS
+    ev = spark.createDataFrame([("A", "2025-01", 1, None), ("A", "2025-01", 1, "HIE"), ("A", "2025-01", 1, "XX")],
+                               "Site_Code string, year_month string, event_count int, outcome string")
+    assert event_tooltip(ev, "year_month", MONTH_LABELS, "t").first().t == "1 HIE(s), 1 Unknown, 1 Unknown"
+
+
+def test_id_parts_with_dash_in_site_code(spark):
+    """The ID is cut with the known site code, so '-' inside a code is harmless."""
+    from signalwatch.operators.register import register_dropped
+    old = spark.createDataFrame([("AB-1-May 2025-2", "AB-1", "n", "T", "t", dt.date(2025, 6, 1))],
+                                "ID string, Site_Code string, Site_Name string, ODS_Code string, ODS_Name string, "
+                                "Date_Email date")
+    new = old.limit(0).drop("Date_Email")
+    r = register_dropped(old, new).first()
+    assert (r.Site_Code, r.Date_of_signal, r.Level_of_Signal_Old) == ("AB-1", "May 2025", "2")
