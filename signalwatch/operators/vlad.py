@@ -32,23 +32,40 @@ def vlad(monthly: DataFrame, daily: DataFrame) -> DataFrame:
     observed - expected; cumulative excess per site in date order. The day's flag is
     the month's level only on days with events.
 
+    One shuffle for the whole daily line: the day rows and the per-day event rows
+    are unioned and partitioned by site once. Ordered by (date, kind) the event
+    row of a day sorts right before the day row, so ``lag`` hands each day its
+    count and tooltip (the left join of the reference without a second
+    exchange); the running sum then uses the same partitioning and a prefix of
+    the same ordering, so Spark adds neither a shuffle nor a sort. Partitions
+    hold one site's days, bounded by the calendar whatever the event volume.
+
     As in the reference a missing expected value makes the running total missing
     from that day on (a plain window SUM would skip it).
     """
-    days = daily_expand(monthly)
-    d = daily.select(F.col("Site_Code").alias("d_site"), F.col("test_date").alias("d_date"),
-                     "daily_count", "Event_Type")
-    j = days.join(d, (days.Site_Code == d.d_site) & (days.Date_VLAD == d.d_date), "left")
-    cnt = F.coalesce(F.col("daily_count"), F.lit(0).cast("long"))
-    births_in_day = F.col("denominator") / F.dayofmonth(F.last_day("Date_VLAD"))
+    days = daily_expand(monthly).select(
+        "Site_Code", F.col("Date_VLAD").alias("d"), F.lit(1).alias("_kind"), "denominator", "event_rate",
+        "Signal_Flag", F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type"))
+    ev = daily.select(
+        "Site_Code", F.col("test_date").alias("d"), F.lit(0).alias("_kind"),
+        F.lit(None).cast("double").alias("denominator"), F.lit(None).cast("double").alias("event_rate"),
+        F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type")
+    by_day = Window.partitionBy("Site_Code").orderBy("d", "_kind")
+    same_day = (F.lag("_kind").over(by_day) == 0) & (F.lag("d").over(by_day) == F.col("d"))
+    u = days.unionByName(ev).select(
+        "Site_Code", "d", "_kind", "denominator", "event_rate", "Signal_Flag",
+        F.when(same_day, F.lag("daily_count").over(by_day)).alias("cnt"),
+        F.when(same_day, F.lag("Event_Type").over(by_day)).alias("Event_Type"))
+    j = u.filter(F.col("_kind") == 1)
+    cnt = F.coalesce(F.col("cnt"), F.lit(0).cast("long"))
+    births_in_day = F.col("denominator") / F.dayofmonth(F.last_day("d"))
     excess = cnt - births_in_day * F.col("event_rate")
-    w = (Window.partitionBy("Site_Code").orderBy("Date_VLAD")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    j = j.select("Site_Code", "Date_VLAD", "Signal_Flag", "Event_Type", cnt.alias("daily_count"),
+    w = Window.partitionBy("Site_Code").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    j = j.select("Site_Code", "d", "Signal_Flag", "Event_Type", cnt.alias("daily_count"),
                  excess.alias("excess_events"))
     cum = F.when(F.count_if(F.col("excess_events").isNull()).over(w) > 0, F.lit(None).cast("double")) \
            .otherwise(F.sum("excess_events").over(w))
-    return j.select("Date_VLAD", "Site_Code", cum.alias("cmltv_excess_events"),
+    return j.select(F.col("d").alias("Date_VLAD"), "Site_Code", cum.alias("cmltv_excess_events"),
                     F.when(F.col("daily_count") > 0, F.col("Signal_Flag")).otherwise(0).alias("Signal_Flag"),
                     "daily_count", "Event_Type")
 

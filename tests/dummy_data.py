@@ -22,7 +22,7 @@ TERM_BIRTHS = {
     "ABC03": [190, 222, 235, 228, 232, 216, 225, 239, 226, 225, 207, 197],
 }
 RATE = ("2022-2024", 200, 100000, 0.002, "Local Data")
-TRUST = ("ABC", "EXAMPLE NHS FOUNDATION TRUST")
+TRUST = ("ABC", "EXAMPLE FOUNDATION TRUST")
 # ---------------------------------------------------------------------------
 
 
