@@ -70,6 +70,81 @@ def vlad(monthly: DataFrame, daily: DataFrame) -> DataFrame:
                     "daily_count", "Event_Type")
 
 
+LINE_COLS = ["Date_of_signal", "Cusum_Statistic", "Level_of_Signal", "Reset_Flag", "Events_Desc", "Level1_6months",
+             "Level2_6months", "Level1_12months", "Level2_12months", "Line_Type", "Line_Part"]
+
+
+def final_one_pass(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider: DataFrame) -> DataFrame:
+    """L17-L19 in one shuffle: daily line, site names and chart rows of the same day.
+
+    Event rows (kind 0), day rows (kind 1) and chart-line rows (kind 2) are
+    unioned and partitioned by site once, ordered by (date, kind):
+
+    * a day row takes its count and tooltip from the event row just before it
+      (``lag``) and its running excess from a running window over day rows;
+    * a chart row takes the values of its day from the day row just before it
+      (``last`` ignoring other kinds); chart rows on dates without a day row
+      drop out, as in the reference's left join from the daily line;
+    * a day row followed by a chart row of the same date is replaced by those
+      chart rows (``lead``), so a day appears once per chart row, or once alone.
+
+    The three windows share partitioning and ordering, so Spark adds no shuffle
+    or sort between them. Same rows as ``final_table(with_site_names(vlad(...)), lines)``.
+    """
+    line_types = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
+    nulls_line = [F.lit(None).cast(line_types[c]).alias(c) for c in LINE_COLS]
+    days = daily_expand(monthly).select(
+        "Site_Code", F.col("Date_VLAD").alias("d"), F.lit(1).alias("_kind"), "denominator", "event_rate",
+        "Signal_Flag", F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type"),
+        *nulls_line)
+    ev = daily.select(
+        "Site_Code", F.col("test_date").alias("d"), F.lit(0).alias("_kind"),
+        F.lit(None).cast("double").alias("denominator"), F.lit(None).cast("double").alias("event_rate"),
+        F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type", *nulls_line)
+    ln = lines.select(
+        "Site_Code", F.col("Date").alias("d"), F.lit(2).alias("_kind"),
+        F.lit(None).cast("double").alias("denominator"), F.lit(None).cast("double").alias("event_rate"),
+        F.lit(None).cast("int").alias("Signal_Flag"), F.lit(None).cast("long").alias("daily_count"),
+        F.lit(None).cast("string").alias("Event_Type"), *LINE_COLS)
+    order = Window.partitionBy("Site_Code").orderBy("d", "_kind")
+    run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kind, d = F.col("_kind"), F.col("d")
+    # pass 1: the day's events, and whether chart rows follow on the same date
+    ev_here = (F.lag("_kind").over(order) == 0) & (F.lag("d").over(order) == d)
+    u = days.unionByName(ev).unionByName(ln).select(
+        "Site_Code", "d", "_kind", "Signal_Flag", *LINE_COLS,
+        F.when(kind == 1, F.coalesce(F.when(ev_here, F.lag("daily_count").over(order)),
+                                     F.lit(0).cast("long"))).alias("cnt"),
+        F.when((kind == 1) & ev_here, F.lag("Event_Type").over(order)).alias("Event_Type"),
+        ((F.lead("_kind").over(order) == 2) & (F.lead("d").over(order) == d)).alias("_lined"),
+        F.when(kind == 1, F.col("denominator") / F.dayofmonth(F.last_day("d")) * F.col("event_rate")
+               ).alias("_expected"))
+    # pass 2: running excess over the day rows
+    excess = F.col("cnt") - F.col("_expected")
+    u = u.withColumn("_excess", F.when(kind == 1, excess))
+    cum = F.when(F.count_if((kind == 1) & F.col("_excess").isNull()).over(run) > 0, F.lit(None).cast("double")) \
+           .otherwise(F.sum("_excess").over(run))
+    u = u.withColumn("_cum", F.when(kind == 1, cum))
+    # pass 3: chart rows take the values of the day row before them
+    day_vals = F.struct(d.alias("dd"), F.col("_cum").alias("cum"),
+                        F.when(F.col("cnt") > 0, F.col("Signal_Flag")).otherwise(0).alias("flag"),
+                        F.col("Event_Type").alias("et"))
+    u = u.withColumn("_day", F.last(F.when(kind == 1, day_vals), ignorenulls=True).over(run))
+    keep = ((kind == 1) & ~F.coalesce(F.col("_lined"), F.lit(False))) | ((kind == 2) & (F.col("_day.dd") == d))
+    out = u.filter(keep).select(
+        F.col("d").alias("Date"), "Site_Code",
+        F.col("_day.cum").alias("Excess_Events"), F.col("_day.flag").alias("Signal_Flag"),
+        F.col("_day.et").alias("Event_Type"), *LINE_COLS)
+    p = provider.select(F.col("Site_Code").alias("ps_site"), "Site_Name",
+                        F.col("Trust_Code").alias("ODS_Code"), F.col("Trust_Name").alias("ODS_Name"))
+    j = out.join(p, out.Site_Code == p.ps_site, "left")
+    lt = F.col("Line_Type")
+    exc = F.when(lt.isNull() | (lt != "Level2_Threshold"), F.col("Excess_Events"))
+    cols = ["Date", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Excess_Events", "Signal_Flag", "Event_Type",
+            *LINE_COLS]
+    return j.withColumn("Excess_Events", exc).select(*cols)
+
+
 def with_site_names(v: DataFrame, provider: DataFrame) -> DataFrame:
     """Site and trust names."""
     p = provider.select(F.col("Site_Code").alias("ps_site"), "Site_Name",

@@ -70,6 +70,11 @@ class SignalParams:
     # Chart every month between the first and last event month, not only
     # months with an event somewhere.
     full_month_calendar: bool = False
+    # Build daily line, site names and chart rows in one shuffle (vlad.final_one_pass)
+    # instead of joining the chart rows to the daily line. Measured slower on one
+    # machine; meant for clusters where the chart rows are too big to broadcast and
+    # the join would shuffle the whole daily line again.
+    final_in_one_pass: bool = False
 
 
 @dataclass(frozen=True)

@@ -144,6 +144,8 @@ class SignalFlow:
 
     @cached_property
     def final(self) -> DataFrame:            # L19
+        if self.p.final_in_one_pass:
+            return vlad.final_one_pass(self.cusum_out, self.daily, self.lines, self.provider)
         return vlad.final_table(self.vlad_named, self.lines)
 
     # --- register ----------------------------------------------------------------

@@ -104,3 +104,11 @@ def test_register_second_run_is_quiet(spark, flow):
     assert again.compare.filter("Email_Trust = 1").count() == 0
     assert again.summary.first().Number_new_signals == 0
     assert again.dropped.count() == 0
+
+
+def test_final_in_one_pass_equals_join_form(spark, flow):
+    from signalwatch.operators import vlad
+    a = sorted(map(tuple, flow.final.collect()), key=str)
+    b = sorted(map(tuple, vlad.final_one_pass(flow.cusum_out, flow.daily, flow.lines, flow.provider).collect()),
+               key=str)
+    assert a == b and len(a) == 549
