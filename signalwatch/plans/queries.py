@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.functions.rounding import round6
-from signalwatch.operators import clean, cusum, register, workdays
+from signalwatch.operators import clean, cusum, workdays
 from signalwatch.plans.testbed_plan import shared_flows, source_flow
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,4 +376,4 @@ def queries() -> dict[str, Query]:
 # keys whose result has no SQL counterpart (rows-only check)
 NO_ORACLE = {"threshold_table", "final_designed"}
 
-__all__ = ["queries", "NO_ORACLE", "register"]
+__all__ = ["queries", "NO_ORACLE"]
