@@ -53,6 +53,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage so that a lost executor costs one re-read, not a rerun of
     the whole cleaning chain, and lets several outputs share one computation.
+    Parquet rather than ``checkpoint()``: the planner then sees the real file
+    sizes (a checkpointed plan keeps estimated sizes, and at sf0.1 that turned
+    two broadcast joins of the final table into sort-merge joins).
     """
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
