@@ -83,3 +83,34 @@ def rows_of(batches: Iterable, max_chars: int = 1 << 21) -> Iterator[tuple[list,
                 lo, size, out = k + 1, 0, []
         if out:
             yield ids[lo:], out
+
+
+def bounded_sample(rows: DataFrame, label: str, per_label: int, key: str = "doc_id") -> DataFrame:
+    """About ``per_label`` rows of each value of ``label`` (all, where there are fewer), chosen by a hash of the id.
+
+    One count per value goes to the driver; the choice itself is a filter, so it
+    is the same in every run and needs no sort. Labels must be few (classes).
+    """
+    rows = rows.filter(F.col(label).isNotNull())
+    share = {r[label]: min(1.0, per_label / r["n"]) for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    if not share:
+        return rows
+    at = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.col(label)), F.lit(0.0))
+    place = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
+    return rows.filter(place < at)
+
+
+def class_table():
+    """Code point -> 0 other, 1 white space, 2 lower or other letter, 3 upper-case letter, 4 digit, 5 sign of the noise set."""
+    import numpy as np
+    table = np.zeros(sys.maxunicode + 1, np.uint8)
+    for c in range(sys.maxunicode + 1):
+        x = chr(c)
+        if x.isspace():
+            table[c] = 1
+        elif x.isalpha():
+            table[c] = 3 if x.isupper() else 2
+        elif x.isdigit():
+            table[c] = 4
+    table[[ord(x) for x in "#*$%&|<>"]] = 5
+    return table

@@ -8,8 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, packing, token_count
-from signalwatch.llm.common import read
+from signalwatch.llm import bpe, compression_rules, ecoc_lang, packing, quality_gam, token_count, toxicity
+from signalwatch.llm.common import bucket, read
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by error-correcting output codes; crc32 mod 5 = 0 is held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = ecoc_lang.fit(docs.filter(bucket(5) != 0))
+    return ecoc_lang.identify(docs, model).withColumn("held_out", bucket(5) == 0)
 
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +24,30 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by the counterfactual-regularised classifier; crc32 mod 3 = 1 is held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(bucket(3) != 1))
+    return toxicity.score(docs, model).withColumn("held_out", bucket(3) == 1)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by heap-and-linked-list merging."""
     return token_count.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the additive model with interactions; crc32 mod 4 = 2 is held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality_gam.fit(docs, labels.filter(bucket(4) != 2))
+    return quality_gam.score(docs, model).withColumn("held_out", bucket(4) == 2)
+
+
+def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and compression verdict of every document."""
+    return compression_rules.apply_rules(read(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in sequences of at most 2048 tokens."""
     pieces = packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -29,7 +55,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op4_bpe_round_trip, op6_token_counts, op9_packing]
+    found = [op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
+             op8_compression_bands, op9_packing]
     return {f.__name__: f for f in found}
 
 
