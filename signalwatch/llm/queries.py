@@ -8,10 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, compression_rules, ecoc_lang, packing, quality_gam, token_count, toxicity
+from signalwatch.llm import bpe, compression_rules, ecoc_lang, lattice_lm, packing, quality_gam, token_count, toxicity
 from signalwatch.llm.common import bucket, read
 
 
+def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marginal lattice probability of every document; crc32 mod 7 = 2 is held out."""
+    docs = read(spark, sf_dir, "documents")
+    got = lattice_lm.score(docs, bucket(7) != 2, public_tokenizers.path("piece_bpe_32k.model"))
+    return got.withColumn("held_out", ~F.col("train")).drop("train")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by error-correcting output codes; crc32 mod 5 = 0 is held out."""
     docs = read(spark, sf_dir, "documents")
@@ -55,7 +62,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
+    found = [op1_lattice_lm, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
              op8_compression_bands, op9_packing]
     return {f.__name__: f for f in found}
 

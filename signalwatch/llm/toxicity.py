@@ -83,7 +83,8 @@ class ToxicityModel:
 
 
 def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[list[int], list[int]]],
-               features: int = 8192, strength: float = 1.0, decay: float = 2e-4, steps: int = 200) -> ToxicityModel:
+               features: int = 8192, least: float = 10.0, strength: float = 1.0, decay: float = 1e-4, balance: float = 0.75,
+               steps: int = 300) -> ToxicityModel:
     """Fit on hashed rows. ``changes``: what each counterfactual reading takes away and adds; ``strength`` weighs them."""
     n = len(labels)
     if not n or labels.min() == labels.max():
@@ -92,11 +93,11 @@ def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[l
     names, col = np.unique(flat, return_inverse=True)
     pos = np.bincount(col, labels[row], len(names))
     neg = np.bincount(col, minlength=len(names)) - pos
-    p, q = (pos + 0.5) / (labels.sum() + 1), (neg + 0.5) / (n - labels.sum() + 1)
-    seen = pos + neg
-    worth = np.where(seen >= 2, (p - q) ** 2 / (p + q), 0)
+    n_pos, seen = labels.sum(), pos + neg
+    p, q, r = pos / n_pos, neg / (n - n_pos), seen / n
+    worth = (p - q) ** 2 / np.maximum(r * (1 - r) * (1 / n_pos + 1 / (n - n_pos)), 1e-12)  # chi-square, one degree
     pick = np.sort(np.lexsort((names, -worth))[:features])
-    pick = pick[worth[pick] > 0]
+    pick = pick[(worth[pick] >= least) & (seen[pick] >= 3)]
     extra = np.array(sorted({h for a, b in changes for h in (*a, *b)}), np.uint32)
     kept = np.union1d(names[pick], extra)
     at = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
@@ -106,7 +107,7 @@ def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[l
     c_row = np.array([k for k, (a, b) in enumerate(changes) for _ in (*a, *b)], np.int64)
     c_col = np.searchsorted(kept, np.array([h for a, b in changes for h in (*a, *b)], np.uint32))
     c_sign = np.array([s for a, b in changes for s in [-1.0] * len(a) + [1.0] * len(b)])
-    each = np.where(labels > 0, 0.5 * n / labels.sum(), 0.5 * n / (n - labels.sum())) ** 0.5
+    each = np.where(labels > 0, 0.5 * n / labels.sum(), 0.5 * n / (n - labels.sum())) ** balance
     each /= each.mean()
     w, b = np.zeros(len(kept)), 0.0
     m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
