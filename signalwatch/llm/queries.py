@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, compression_rules, ecoc_lang, lattice_lm, packing, quality_gam, token_count, toxicity
+from signalwatch.llm import bpe, chosen_path, compression_rules, ecoc_lang, lattice_lm, packing, quality_gam, token_count, toxicity
 from signalwatch.llm.common import bucket, read
 
 
@@ -61,9 +61,14 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of five-word shingle sets with a Jaccard similarity of 0.8 or more between all documents."""
+    return chosen_path.join(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_lattice_lm, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
-             op8_compression_bands, op9_packing]
+             op8_compression_bands, op9_packing, op10_ngram_jaccard]
     return {f.__name__: f for f in found}
 
 
