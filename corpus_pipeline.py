@@ -11,7 +11,12 @@ from signalwatch.llm import stages
 from signalwatch.llm.common import read
 from signalwatch.session import ensure_checkpoint_dir
 
-STAGES = [("packing", stages.packing_stage)]
+STAGES = [
+    ("language", stages.language_stage),
+    ("toxicity", stages.toxicity_stage),
+    ("near_duplicates", stages.near_duplicate_stage),
+    ("packing", stages.packing_stage),
+]
 
 #: Trained models and a tokenizer decide here, which SQL cannot express; tests hold run() against plain Python.
 ORACLE_SQL = None

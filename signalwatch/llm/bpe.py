@@ -47,7 +47,9 @@ class WordBpe:
             spec = json.load(f)
         model = spec["model"]
         vocab, end = model["vocab"], model["end_of_word_suffix"] or ""
-        self.tokens = {i: t for t, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        names = {i: t for t, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.tokens = [names.get(i, "") for i in range(max(names) + 1)]
+        self.digits = [str(i) for i in range(len(self.tokens))]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"] if t["special"]}
         chars = byte_chars()
         self.inner = np.array([vocab[chars[b]] for b in range(256)], np.int64)
@@ -65,19 +67,19 @@ class WordBpe:
         self.joined = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.cut = Cutter(WORDS, new)
         self.lowered = lowered or {}
-        self.white = regex.compile(rf"[{WHITE}]+")
         self.stop = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.known: dict[str, tuple] = {s: (i,) for s, i in self.special.items()}
 
     def words(self, text: str) -> list[str]:
-        """The words of a text: NFC, white space runs to one space, each character lowered by itself."""
+        """The words of a text: NFC, each character lowered by itself; white space is in no word, so its runs may stay."""
         if any(s in text for s in self.special):
             parts = self.stop.split(text)
             return list(chain.from_iterable([p] if p in self.special else self.words(p) for p in parts))
-        text = self.white.sub(" ", normalize("NFC", text))
         # the final form of sigma depends on its place in str.lower(), not here
-        lower = text.replace("Σ", "σ").lower()
-        return self.cut(lower if lower.isascii() else lower.translate(self.lowered))
+        lower = normalize("NFC", text).replace("Σ", "σ").lower()
+        if lower.isascii() or not self.cut.beyond(lower):
+            return self.cut.plain(lower)
+        return self.cut(lower.translate(self.lowered))
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 20 | right
@@ -181,7 +183,7 @@ def round_trip_digests(docs: DataFrame, vocabulary: str, key: str = "doc_id", te
             got = bpe.encode_batch(texts)
             yield pa.RecordBatch.from_arrays([
                 pa.array(keys, pa.int64()), pa.array(map(len, got), pa.int64()),
-                pa.array([sha256(" ".join(map(str, x)).encode()).hexdigest() for x in got]),
+                pa.array([sha256(" ".join(map(bpe.digits.__getitem__, x)).encode()).hexdigest() for x in got]),
                 pa.array([sha256(bpe.decode(x).encode()).hexdigest() for x in got])],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return _map(docs, key, text, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")

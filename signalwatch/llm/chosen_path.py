@@ -34,7 +34,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalwatch.llm.common import worker_cache
@@ -173,24 +173,25 @@ def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, runs: int, width: int, key: str, text: str) -> DataFrame:
-    """doc_id, number of shingles, set hash, sketch and picked tokens of each row."""
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    """doc_id, hash of the text, number of shingles, set hash, sketch and picked tokens of each row."""
+    rows = docs.select(docs[key].cast("long").alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("text"),
+                       F.xxhash64(docs[text]).alias("text_hash"))
 
     def run(batches):
-        names = ["doc_id", "n", "h1", "h2", "sketch", "paths"]
-        kinds = [pa.int64()] * 4 + [pa.binary(), pa.list_(pa.list_(pa.list_(pa.int64())))]
+        names = ["doc_id", "text_hash", "n", "h1", "h2", "sketch", "paths"]
+        kinds = [pa.int64()] * 5 + [pa.binary(), pa.list_(pa.list_(pa.list_(pa.int64())))]
         for b in batches:
             for lo in range(0, len(b), 500):
                 part, out = b.slice(lo, 500), []
-                for i, t in zip(part.column(0).to_pylist(), part.column(1)):
+                for i, t, th in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist()):
                     s = shingles(t.as_py(), width)
                     if i is None or not len(s):
-                        out.append((i, 0, 0, 0, b"", []))
+                        out.append((i, th, 0, 0, 0, b"", []))
                     else:
-                        out.append((i, len(s), set_hash(s), set_hash(s[::-1]), sketch(s).tobytes(), picked(s, runs)))
+                        out.append((i, th, len(s), set_hash(s), set_hash(s[::-1]), sketch(s).tobytes(), picked(s, runs)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
-    return rows.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary, paths array<array<array<long>>>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, h1 long, h2 long, sketch binary, paths array<array<array<long>>>")
 
 
 def branches_of(store: Store, classes: DataFrame, levels: int = LEVELS, small: int = SMALL) -> DataFrame:
@@ -323,7 +324,8 @@ def link_counts(sets: DataFrame, roots: DataFrame, threshold: float) -> DataFram
 def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.999, key: str = "doc_id",
          text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (least id with an equal set), component_id (least id reachable
-    by links), n_links (other documents linked directly) and kept (doc_id = component_id; always for unlinked rows)."""
+    by links), n_links (other documents linked directly) and kept (doc_id = component_id; always for unlinked rows);
+    text_hash tells rows of a repeated id apart."""
     store = Store(docs.sparkSession, "chosen-path")
     runs = runs_needed(threshold, recall)
     sig = store.keep(signatures(docs, runs, width, key, text), "signatures")
@@ -341,7 +343,22 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
     of_class = (found.join(roots, found["class"] == roots["node"], "left").join(links, "class", "left")
                 .select("h1", "h2", "n", "class", F.coalesce("root", "class").alias("component_id"),
                         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    out = sig.select("doc_id", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"], "left")
-    return out.select("doc_id", F.coalesce("class", "doc_id").alias("class_id"),
+    out = sig.select("doc_id", "text_hash", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"], "left")
+    return out.select("doc_id", "text_hash", F.coalesce("class", "doc_id").alias("class_id"),
                       F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
                       F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, without all but the first (least id) of each group of linked documents.
+
+    Of rows that repeat both id and text one stays; rows with a null id all stay.
+    """
+    found = join(docs, key=key, text=text, **options)
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    named = docs.filter(docs[key].isNotNull())
+    named = named.withColumn("_at", named[key].cast("long")).withColumn("_hash_of", F.xxhash64(named[text]))
+    named = named.join(gone, (F.col("_at") == F.col("_id")) & (F.col("_hash_of") == F.col("_hash")), "left_anti")
+    nth = F.row_number().over(Window.partitionBy("_at", "_hash_of").orderBy("_at"))
+    named = named.withColumn("_nth", nth).filter("_nth = 1").drop("_at", "_hash_of", "_nth")
+    return named.unionByName(docs.filter(docs[key].isNull()))

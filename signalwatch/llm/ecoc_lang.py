@@ -24,6 +24,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -149,30 +150,41 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return LanguageModel(languages, code, w, b, trust / trust.mean())
 
 
+def verdicts(m: LanguageModel, texts: list[str], gap: float) -> tuple[list[str], list[float], list[bool]]:
+    """Language, score and ambiguity of each text; ``gap`` is the difference of losses per bit below which two are close."""
+    names, scores, unsure = [], [], []
+    for lo in range(0, len(texts), 256):
+        x, found = gram_counts(texts[lo:lo + 256])
+        if not m.languages:
+            found[:] = False
+        loss = m.losses(scaled(x)) if m.languages else np.zeros((len(found), 1))
+        share = 1 / np.exp(loss.min(1)[:, None] - loss).sum(1)
+        two = np.sort(loss, 1)[:, :2]
+        close = (two[:, -1] - two[:, 0] < gap * m.code.shape[1]) if len(m.languages) > 1 else np.zeros(len(found), bool)
+        names += [m.languages[k] if f else UNDETERMINED for k, f in zip(loss.argmin(1).tolist(), found.tolist())]
+        scores += np.where(found, share, 0.0).tolist()
+        unsure += (close & found).tolist()
+    return names, scores, unsure
+
+
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text",
              gap: float = 0.1) -> DataFrame:
     """doc_id, lang_pred, score and ambiguous (the best two losses lie within ``gap`` of each other per bit)."""
-    m = model  # shipped with the function: WIDTH x bits: a fixed size
-
     def run(batches):
         for ids, texts in rows_of(batches, 1 << 20):
-            names, scores, unsure = [], [], []
-            for lo in range(0, len(texts), 256):
-                x, found = gram_counts(texts[lo:lo + 256])
-                if not m.languages:
-                    found[:] = False
-                    loss = np.zeros((len(found), 1))
-                else:
-                    loss = m.losses(scaled(x))
-                best = loss.argmin(1)
-                share = 1 / np.exp(loss.min(1)[:, None] - loss).sum(1)
-                two = np.sort(loss, 1)[:, :2]
-                close = (two[:, -1] - two[:, 0] < gap * m.code.shape[1]) if len(m.languages) > 1 else np.zeros(len(found), bool)
-                names += [m.languages[k] if f else UNDETERMINED for k, f in zip(best.tolist(), found.tolist())]
-                scores += np.where(found, share, 0.0).tolist()
-                unsure += (close & found).tolist()
+            names, scores, unsure = verdicts(model, texts, gap)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names, pa.string()),
                                               pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())],
                                              ["doc_id", "lang_pred", "score", "ambiguous"])
 
     return two_columns(docs, key, text).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
+
+
+def keep_determined(docs: DataFrame, model: LanguageModel, text: str = "text", gap: float = 0.02) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a letter and one nearest language."""
+    @F.pandas_udf("boolean")
+    def determined(texts: pd.Series) -> pd.Series:
+        names, _, unsure = verdicts(model, texts.fillna("").tolist(), gap)
+        return pd.Series([n != UNDETERMINED and not u for n, u in zip(names, unsure)], dtype=bool)
+
+    return docs.filter(determined(docs[text]))

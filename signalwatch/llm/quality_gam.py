@@ -180,11 +180,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def score(docs: DataFrame, model: AdditiveModel, key: str = "doc_id", text: str = "text", limit: float = 0.7) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from ``limit`` on) of each row."""
-    m = model  # shipped with the function: lookup tables of a fixed size
-
     def run(batches):
         for ids, texts in rows_of(batches):
-            s = m.score(np.array([text_numbers(t) for t in texts]))
+            s = model.score(np.array([text_numbers(t) for t in texts]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(s, pa.float64()),
                                               pa.array((s >= limit).astype(np.int32))], ["doc_id", "score", "predicted"])
 

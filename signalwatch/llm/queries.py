@@ -63,7 +63,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of five-word shingle sets with a Jaccard similarity of 0.8 or more between all documents."""
-    return chosen_path.join(read(spark, sf_dir, "documents"))
+    return chosen_path.join(read(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

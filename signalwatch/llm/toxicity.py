@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,7 +84,7 @@ class ToxicityModel:
 
 
 def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[list[int], list[int]]],
-               features: int = 8192, least: float = 10.0, strength: float = 1.0, decay: float = 1e-4, balance: float = 0.75,
+               features: int = 8192, least: float = 10.0, ratio: float = 4.0, strength: float = 1.0, decay: float = 1e-4, balance: float = 0.75,
                steps: int = 300) -> ToxicityModel:
     """Fit on hashed rows. ``changes``: what each counterfactual reading takes away and adds; ``strength`` weighs them."""
     n = len(labels)
@@ -96,6 +97,8 @@ def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[l
     n_pos, seen = labels.sum(), pos + neg
     p, q, r = pos / n_pos, neg / (n - n_pos), seen / n
     worth = (p - q) ** 2 / np.maximum(r * (1 - r) * (1 / n_pos + 1 / (n - n_pos)), 1e-12)  # chi-square, one degree
+    odds = (pos + 0.5) / (n_pos + 1) * (n - n_pos + 1) / (neg + 0.5)  # common words of one language stay near 1
+    worth = np.where(np.maximum(odds, 1 / odds) >= ratio, worth, 0.0)
     pick = np.sort(np.lexsort((names, -worth))[:features])
     pick = pick[(worth[pick] >= least) & (seen[pick] >= 3)]
     extra = np.array(sorted({h for a, b in changes for h in (*a, *b)}), np.uint32)
@@ -155,13 +158,20 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text",
           limit: float = 0.7) -> DataFrame:
     """doc_id, score (0 to 1) and predicted (1 from ``limit`` on) of each row."""
-    m = model  # shipped with the function: at most ``features`` weights and the swap terms
-
     def run(batches):
         for ids, texts in rows_of(batches):
-            s = [m.score(t) for t in texts]
+            s = [model.score(t) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(s, pa.float64()),
                                               pa.array([int(x >= limit) for x in s], pa.int32())],
                                              ["doc_id", "score", "predicted"])
 
     return two_columns(docs, key, text).mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def keep_clean(docs: DataFrame, model: ToxicityModel, text: str = "text", limit: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score lies below ``limit``."""
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.score(t) < limit for t in texts.fillna("")], dtype=bool)
+
+    return docs.filter(clean(docs[text]))
