@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalwatch.llm import bpe, chosen_path, compression_rules, ecoc_lang, lattice_lm, packing, quality_gam, token_count, toxicity
+from signalwatch.llm import (
+    bpe, chosen_path, compression_rules, ecoc_lang, lattice_lm, packing, projections, quality_gam, token_count, toxicity,
+)
 from signalwatch.llm.common import bucket, read
 
 
@@ -19,6 +21,11 @@ def op1_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("held_out", ~F.col("train")).drop("train")
 
 
+def op2_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 or more between all vectors, by collision counting over projections."""
+    return projections.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by error-correcting output codes; crc32 mod 5 = 0 is held out."""
     docs = read(spark, sf_dir, "documents")
@@ -67,7 +74,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_lattice_lm, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
+    found = [op1_lattice_lm, op2_embedding_near_dup, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
              op8_compression_bands, op9_packing, op10_ngram_jaccard]
     return {f.__name__: f for f in found}
 
