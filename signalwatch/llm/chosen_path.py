@@ -30,6 +30,7 @@ ignored. Ties on ids go to the smallest.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from signalwatch.llm.common import worker_cache
 from signalwatch.llm.links import Store, components, grouped, groups_of
 
 #: Tokens that a set picks on each level, on average, and levels of a run.
-BRANCHES, LEVELS = 2.0, 3
+BRANCHES, LEVELS = 3.0, 3
 #: Classes in a branch that are compared at once; a larger one is split again.
 SMALL = 2048
 #: Shingles that a group of exact sets may hold; a larger one is compared in blocks.
@@ -113,13 +114,11 @@ def runs_needed(threshold: float, recall: float, branches: float = BRANCHES, lev
     """Runs until a pair at the threshold shares a path with probability ``recall``.
 
     The worse of two such pairs (equal sizes, or one inside the other) shares a Poisson
-    number of picked tokens on each level; a run finds it if such a tree of shared
-    picks reaches the last level.
+    number of picked tokens on a level; a run finds it for sure if it shares one on
+    every level. Most pairs meet in a branch that is small before the last level.
     """
     mean = branches * min(2 * threshold / (1 + threshold), threshold)
-    found = 1.0
-    for _ in range(levels):
-        found = 1 - math.exp(-mean * found)
+    found = (1 - math.exp(-mean)) ** levels
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
 
 
@@ -194,8 +193,9 @@ def signatures(docs: DataFrame, runs: int, width: int, key: str, text: str) -> D
     return rows.mapInArrow(run, "doc_id long, text_hash long, n long, h1 long, h2 long, sketch binary, paths array<array<array<long>>>")
 
 
-def branches_of(store: Store, classes: DataFrame, levels: int = LEVELS, small: int = SMALL) -> DataFrame:
+def branches_of(store: Store, classes: DataFrame, levels: int = LEVELS) -> DataFrame:
     """(branch, class) of every branch with two classes or more, split until it is small."""
+    small = SMALL
     rows = classes.select("class", F.posexplode("paths").alias("run", "path")).select(
         "class", "path", F.explode(F.col("path")[0]).alias("token"), F.xxhash64("run").alias("branch"))
     leaves = []
@@ -355,10 +355,11 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **optio
     Of rows that repeat both id and text one stays; rows with a null id all stay.
     """
     found = join(docs, key=key, text=text, **options)
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    at, text_hash, nth = (f"_{uuid.uuid4().hex}" for _ in range(3))  # no column of the table has these names
+    gone = found.filter("not kept").select(F.col("doc_id").alias(at), F.col("text_hash").alias(text_hash)).distinct()
     named = docs.filter(docs[key].isNotNull())
-    named = named.withColumn("_at", named[key].cast("long")).withColumn("_hash_of", F.xxhash64(named[text]))
-    named = named.join(gone, (F.col("_at") == F.col("_id")) & (F.col("_hash_of") == F.col("_hash")), "left_anti")
-    nth = F.row_number().over(Window.partitionBy("_at", "_hash_of").orderBy("_at"))
-    named = named.withColumn("_nth", nth).filter("_nth = 1").drop("_at", "_hash_of", "_nth")
+    named = named.withColumns({at: named[key].cast("long"), text_hash: F.xxhash64(named[text])})
+    named = named.join(gone, [at, text_hash], "left_anti")
+    first = F.row_number().over(Window.partitionBy(at, text_hash).orderBy(at))
+    named = named.withColumn(nth, first).filter(F.col(nth) == 1).select(*docs.columns)
     return named.unionByName(docs.filter(docs[key].isNull()))

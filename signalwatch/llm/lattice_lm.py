@@ -117,7 +117,7 @@ class Lattice:
         bare = np.flatnonzero(~alone)
         self.spelled = code[bare]  # characters without a piece: arcs numbered from v.size on
         chars, which = np.unique(self.spelled, return_inverse=True)
-        self.spell = [np.frombuffer(chr(c).encode("utf-8", "surrogatepass"), np.uint8) for c in chars.tolist()]
+        self.spell = [np.frombuffer(chr(c).encode("utf-8", "surrogatepass"), np.uint8).astype(np.int64) for c in chars.tolist()]
         src.append(bare + owner[bare])
         dst.append(src[-1] + 1)
         piece.append(v.size + which)
@@ -164,7 +164,7 @@ class Lattice:
         got = np.bincount(self.piece, share, self.v.size + len(self.spell))
         out = got[:self.v.size]
         for k, s in enumerate(self.spell):
-            np.add.at(out, len(self.v.pieces) + s.astype(np.int64), got[self.v.size + k])
+            np.add.at(out, len(self.v.pieces) + s, got[self.v.size + k])
         return out
 
 
@@ -298,7 +298,7 @@ def score(docs: DataFrame, train: Column, vocabulary: str, key: str = "doc_id",
             at = np.frombuffer(r.places, np.int32)
             doc, k = np.repeat(np.arange(len(size)), size), len(size)
             out.append(pd.DataFrame({
-                "doc_id": pd.array(r.ids, dtype="Int64") if None in list(r.ids) else r.ids, "train": r.train,
+                "doc_id": pd.array([int(i) if n else None for i, n in zip(r.ids, r.named)], dtype="Int64"), "train": r.train,
                 "n_tokens": size + 1, "n_known": np.bincount(doc, c[at] > 0, k).astype(np.int64) + (ends > 0),
                 "train_tokens": n_train,
                 "base_score": np.bincount(doc, np.log10(c[at] + 1.0) - base_low, k) + np.log10(ends + 1.0) - base_low,
@@ -306,7 +306,9 @@ def score(docs: DataFrame, train: Column, vocabulary: str, key: str = "doc_id",
         return pd.concat(out) if out else pd.DataFrame({x: [] for x in (
             "doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
 
-    payload = spark.read.parquet(f"{base}/chunks").select("chunk", "ids", "train", "sizes", "places")
+    payload = spark.read.parquet(f"{base}/chunks").select(
+        "chunk", F.transform("ids", lambda x: F.coalesce(x, F.lit(0))).alias("ids"),
+        F.transform("ids", lambda x: x.isNotNull()).alias("named"), "train", "sizes", "places")
     return (payload.groupBy("chunk").cogroup(back.groupBy("chunk"))
             .applyInPandas(finish, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, "
                                    "base_score double, score double"))

@@ -103,6 +103,8 @@ def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[l
     pick = pick[(worth[pick] >= least) & (seen[pick] >= 3)]
     extra = np.array(sorted({h for a, b in changes for h in (*a, *b)}), np.uint32)
     kept = np.union1d(names[pick], extra)
+    if not len(kept):  # nothing tells the classes apart: the share of the class is the score
+        return ToxicityModel(float(np.log(n_pos / (n - n_pos))), kept, np.array([]))
     at = np.minimum(np.searchsorted(kept, flat), len(kept) - 1)
     ok = kept[at] == flat
     row, col = row[ok], at[ok]
