@@ -27,9 +27,6 @@ def third_last_day(d: Column) -> Column:
     return F.date_sub(F.last_day(d), 2)
 
 
-chart_date = third_last_day
-
-
 def month_label(d: Column) -> Column:
     """'January 2025' style label."""
     return F.date_format(d, "MMMM yyyy")

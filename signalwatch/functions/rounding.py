@@ -1,4 +1,4 @@
-"""Rounding with the reference's tie rule (ties to even)."""
+"""Rounding to digits and steps, ties to even."""
 
 from __future__ import annotations
 
@@ -7,11 +7,20 @@ from pyspark.sql import functions as F
 
 
 def round_half_even(c: Column, digits: int) -> Column:
-    """``round(x, digits)`` with ties to even, on doubles: rint(x * 10^d) / 10^d."""
+    """``round(x, digits)`` on doubles: of the two neighbours with that many digits the one nearer to x.
+
+    The neighbours are floor(x 10^d) / 10^d and ceil(x 10^d) / 10^d as doubles, and the
+    distances are taken to x itself, so a product a hair above a tie rounds up even
+    where x 10^d falls on the tie. Equal distances go to the even last digit.
+    """
     if digits == 0:
         return F.rint(c)
-    scale = float(10 ** digits)
-    return F.rint(c * F.lit(scale)) / F.lit(scale)
+    scale = F.lit(float(10 ** digits))
+    low_units = F.floor(c * scale).cast("double")
+    low, high = low_units / scale, F.ceil(c * scale).cast("double") / scale
+    down, up = c - low, high - c
+    return (F.when(down < up, low).when(up < down, high)
+            .when(low_units % 2 == 0, low).otherwise(high))
 
 
 def round_to_step(c: Column, step: float) -> Column:

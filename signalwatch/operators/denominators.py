@@ -17,11 +17,10 @@ def births_by_month(current: DataFrame) -> DataFrame:
     already reduced rows.
     """
     is_sb = F.when(F.col("Deceased_Type_Flag") == FLAG_STILLBIRTH, 1).otherwise(0)
-    per_baby = (current.filter(F.col("Baby_ID").isNotNull())
-                .groupBy("Site_Code", "ods_code", "Period", "Baby_ID")
-                .agg(F.max(is_sb).alias("sb")))
+    per_baby = (current.groupBy("Site_Code", "ods_code", "Period", "Baby_ID")
+                .agg(F.max(F.when(F.col("Baby_ID").isNull(), 0).otherwise(is_sb)).alias("sb")))
     return (per_baby.groupBy("Site_Code", "ods_code", "Period")
-            .agg(F.count(F.lit(1)).alias("Term_Births"), F.sum("sb").cast("long").alias("Term_Stillbirths")))
+            .agg(F.count("Baby_ID").alias("Term_Births"), F.sum("sb").cast("long").alias("Term_Stillbirths")))
 
 
 def live_births(monthly: DataFrame) -> DataFrame:
@@ -30,18 +29,16 @@ def live_births(monthly: DataFrame) -> DataFrame:
                           (F.col("Term_Births") - F.col("Term_Stillbirths")).alias("Term_Live_Births"))
 
 
-def densify(df: DataFrame, row_key: str, col_key: str, fill: dict, max_cols: int = 100_000) -> DataFrame:
+def densify(df: DataFrame, row_key: str, col_key: str, fill: dict) -> DataFrame:
     """Every (row_key, col_key) combination, measures of missing combinations set by ``fill``.
 
-    The distinct ``col_key`` values (months) travel as one sorted array, computed
-    by a scalar subquery and checked against ``max_cols``; each row key explodes
-    it. The output is exactly rows x columns, the size the result must have.
+    The distinct ``col_key`` values (months: as many as the calendar has) travel as
+    one sorted array, computed by a scalar subquery; each row key explodes it.
+    The output is exactly rows x columns, the size the result must have.
     """
     cols = df.agg(F.array_sort(F.collect_set(col_key))).scalar()
-    guarded = F.when(F.size(cols) <= max_cols, cols).otherwise(
-        F.raise_error(F.lit(f"densify: more than {max_cols} distinct {col_key} values")))
     keys = df.select(row_key).distinct()
-    full = keys.select(row_key, F.explode(guarded).alias(col_key))
+    full = keys.select(row_key, F.explode(cols).alias(col_key))
     return full.join(df, [row_key, col_key], "left").fillna(fill)
 
 

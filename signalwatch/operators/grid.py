@@ -37,13 +37,11 @@ def annual_denominators(denoms: DataFrame, monthly: DataFrame) -> DataFrame:
                  F.avg("Term_Live_Births").alias("Monthly_Term_Live_Births")))
 
 
-def site_month_grid(monthly: DataFrame, annual: DataFrame, max_months: int = 1200,
-                    full_calendar: bool = False) -> DataFrame:
+def site_month_grid(monthly: DataFrame, annual: DataFrame, full_calendar: bool = False) -> DataFrame:
     """L3 + C5/C6: every site with denominators x every month with an event anywhere.
 
-    The month list is one sorted array from a scalar subquery, bounded by the
-    calendar (checked against ``max_months``), exploded per site. Missing counts
-    become 0. ``full_calendar`` (N7) uses every month from the first to the last
+    The month list is one sorted array from a scalar subquery, as long as the
+    calendar, exploded per site. Missing counts become 0. ``full_calendar`` (N7) uses every month from the first to the last
     month with an event instead, so a month without any event still gets rows.
     """
     if full_calendar:
@@ -53,10 +51,8 @@ def site_month_grid(monthly: DataFrame, annual: DataFrame, max_months: int = 120
         months = monthly.agg(F.transform(seq, lambda d: F.date_format(d, "yyyy-MM"))).scalar()
     else:
         months = monthly.agg(F.array_sort(F.collect_set("year_month"))).scalar()
-    guarded = F.when(F.size(months) <= max_months, months).otherwise(
-        F.raise_error(F.lit(f"site_month_grid: more than {max_months} months")))
     sites = annual.select("Site_Code").distinct()
-    grid = sites.select("Site_Code", F.explode(guarded).alias("year_month"))
+    grid = sites.select("Site_Code", F.explode(months).alias("year_month"))
     counts = monthly.select("Site_Code", "year_month", "monthly_count")
     g = grid.join(counts, ["Site_Code", "year_month"], "left")
     return period_keys(g.select("Site_Code", "year_month",
@@ -89,9 +85,13 @@ def control_parameters(df_for_cusum: DataFrame) -> DataFrame:
     """Per site and year, in-control count ic = round(rate * denominator, 2),
     out-of-control oc = 2 ic, reference value (oc - ic) / (ln oc - ln ic) and
     k = that value rounded to 0.01. ic <= 0 or missing inputs give NULLs."""
-    p = df_for_cusum.select("Site_Code", "Event_Year", "Ref_Rate", "denominator").distinct()
+    return with_parameters(df_for_cusum.select("Site_Code", "Event_Year", "Ref_Rate", "denominator").distinct())
+
+
+def with_parameters(df: DataFrame) -> DataFrame:
+    """The parameters of each row from its own rate and denominator."""
     ic = round_half_even(F.col("Ref_Rate") * F.col("denominator"), 2)
-    p = p.withColumn("inControlCount", ic).withColumn("outControlCount", 2 * F.col("inControlCount"))
+    p = df.withColumn("inControlCount", ic).withColumn("outControlCount", 2 * F.col("inControlCount"))
     ok = F.col("inControlCount") > 0
     ref = F.when(ok, (F.col("outControlCount") - F.col("inControlCount"))
                  / (F.ln(F.col("outControlCount")) - F.ln(F.col("inControlCount"))))
@@ -99,21 +99,21 @@ def control_parameters(df_for_cusum: DataFrame) -> DataFrame:
     return p.withColumn("ref_value", round_to_step(F.col("ref_value_unrounded"), 0.01))
 
 
-def attach_thresholds(df_for_cusum: DataFrame, params: DataFrame, thresholds: DataFrame | None = None,
+def attach_thresholds(df_for_cusum: DataFrame, thresholds: DataFrame | None = None,
                       fixed: tuple | None = None) -> DataFrame:
-    """K, h_L1, h_L2 onto every month of the year.
+    """K, h_L1, h_L2 onto every month.
 
-    ``thresholds`` is the designed table keyed by ic (operators.thresholds);
-    ``fixed`` = (h1, h2) uses k = ref_value and literal decision intervals.
+    ``thresholds`` is a table keyed by ic (designed by operators.thresholds, or
+    given); ``fixed`` = (h1, h2) uses k = ref_value and literal decision intervals.
+    ic and k follow from the row's own rate and denominator, so only the small
+    table is joined, and nothing with fixed intervals.
     """
-    p = params.select(F.col("Site_Code").alias("p_site"), F.col("Event_Year").alias("p_year"),
-                      "inControlCount", "ref_value")
+    p = with_parameters(df_for_cusum)
     if fixed is not None:
-        p = p.select("p_site", "p_year", F.col("ref_value").alias("k"),
-                     F.when(F.col("ref_value").isNotNull(), F.lit(float(fixed[0]))).alias("h_L1"),
-                     F.when(F.col("ref_value").isNotNull(), F.lit(float(fixed[1]))).alias("h_L2"))
+        known = F.col("ref_value").isNotNull()
+        p = p.withColumns({"k": F.col("ref_value"), "h_L1": F.when(known, F.lit(float(fixed[0]))),
+                           "h_L2": F.when(known, F.lit(float(fixed[1])))})
     else:
         t = thresholds.select(F.col("ic").alias("t_ic"), "k", "h_L1", "h_L2")
-        p = p.join(t, p.inControlCount == t.t_ic, "left").select("p_site", "p_year", "k", "h_L1", "h_L2")
-    j = df_for_cusum.join(p, (df_for_cusum.Site_Code == p.p_site) & (df_for_cusum.Event_Year == p.p_year), "left")
-    return j.drop("p_site", "p_year")
+        p = p.join(t, p.inControlCount == t.t_ic, "left")
+    return p.select(*df_for_cusum.columns, "k", "h_L1", "h_L2")

@@ -103,10 +103,11 @@ def threshold_rows(out: DataFrame) -> DataFrame:
     y = F.year("Date")
     t = (out.select("Site_Code", F.make_date(y, F.lit(1), F.lit(1)).alias("Start_Date"),
                     F.make_date(y, F.lit(12), F.lit(31)).alias("End_Date"), "Level1_Threshold", "Level2_Threshold")
-         .distinct())
+         .withColumns({"lo": lo, "hi": hi}).distinct())  # the span is read once, here
     cols = [c for c in t.columns if c.startswith("Level")]
-    t = t.unpivot(["Site_Code", "Start_Date", "End_Date"], cols, "Line_Type", "Cusum_Statistic")
-    t = t.unpivot(["Site_Code", "Line_Type", "Cusum_Statistic"], ["Start_Date", "End_Date"], "Names", "Date")
+    t = t.unpivot(["Site_Code", "Start_Date", "End_Date", "lo", "hi"], cols, "Line_Type", "Cusum_Statistic")
+    t = t.unpivot(["Site_Code", "Line_Type", "Cusum_Statistic", "lo", "hi"], ["Start_Date", "End_Date"], "Names", "Date")
+    lo, hi = F.col("lo"), F.col("hi")
     ref_end = F.col("Date") < lo
     is1, is2 = F.col("Line_Type") == "Level1_Threshold", F.col("Line_Type") == "Level2_Threshold"
     return t.select(

@@ -8,22 +8,32 @@ from pyspark.sql import functions as F
 from signalwatch.params import GATE_MIN_BIRTHS, NEW_SITE_IGNORE_CODES, NEW_SITE_IGNORE_PREFIX, POSTCODE_SAME_SITE
 
 
-def unmapped_sites(mapped: DataFrame) -> DataFrame:
-    """K1: births at sites found by postcode whose postcode is no existing site."""
+def unmapped_rows(mapped: DataFrame) -> DataFrame:
+    """Births at sites found by postcode whose postcode is no existing site, repeats included."""
     return (mapped.filter((F.col("Map_using_postcode") == 1) & (F.col("Justification") != POSTCODE_SAME_SITE))
-            .select("Baby_ID", "Period", "Deceased_Type_Flag", "Gestation_Age", "Postcode", "Site_Code")
-            .distinct())
+            .select("Baby_ID", "Period", "Deceased_Type_Flag", "Gestation_Age", "Postcode", "Site_Code"))
+
+
+def unmapped_sites(mapped: DataFrame) -> DataFrame:
+    """K1: the distinct births of ``unmapped_rows``."""
+    return unmapped_rows(mapped).distinct()
 
 
 def unmapped_totals(unmapped: DataFrame) -> DataFrame:
-    """K2: distinct babies per (period, outcome, site)."""
+    """K2: distinct babies per (period, outcome, site); repeated rows do no harm."""
     return (unmapped.groupBy("Period", "Deceased_Type_Flag", "Site_Code")
             .agg(F.countDistinct("Baby_ID").alias("Total")))
 
 
 def new_sites_check(with_trust: DataFrame, provider: DataFrame, ignore_codes=NEW_SITE_IGNORE_CODES,
                     ignore_prefix: str = NEW_SITE_IGNORE_PREFIX) -> DataFrame:
-    """K3: births at codes outside the provider list, with a flag for a current trust.
+    """K3: the distinct births of ``new_site_rows``."""
+    return new_site_rows(with_trust, provider, ignore_codes, ignore_prefix).distinct()
+
+
+def new_site_rows(with_trust: DataFrame, provider: DataFrame, ignore_codes=NEW_SITE_IGNORE_CODES,
+                  ignore_prefix: str = NEW_SITE_IGNORE_PREFIX) -> DataFrame:
+    """Births at codes outside the provider list, with a flag for a current trust, repeats included.
 
     Joined to the distinct trusts rather than to all sites, so a trust with many
     sites does not multiply the rows (the reference removes that fan-out again
@@ -35,12 +45,11 @@ def new_sites_check(with_trust: DataFrame, provider: DataFrame, ignore_codes=NEW
                              & (F.substring(F.col("Site_Code"), 1, 1) != F.lit(ignore_prefix)))
     j = cand.join(trusts, cand.ods_code == trusts.ct_trust, "left")
     return j.select("ods_code", "Site_Code", "Postcode", "Gestation_Age", "Deceased_Type_Flag", "Period",
-                    "Baby_ID", F.when(F.col("ct_trust").isNotNull(), 1).otherwise(0).alias("Current_Trust")
-                    ).distinct()
+                    "Baby_ID", F.when(F.col("ct_trust").isNotNull(), 1).otherwise(0).alias("Current_Trust"))
 
 
 def new_sites_count(check: DataFrame) -> DataFrame:
-    """K4: distinct babies per (site, period, current-trust flag)."""
+    """K4: distinct babies per (site, period, current-trust flag); repeated rows do no harm."""
     return (check.groupBy("Site_Code", "Period", "Current_Trust")
             .agg(F.countDistinct("Baby_ID").alias("Total")))
 

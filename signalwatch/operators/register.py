@@ -58,14 +58,15 @@ def with_notifications(final: DataFrame, formatted: DataFrame, holidays: DataFra
     """L22 + L23: notify flag and date on the signal's own row (never on reset rows),
     and the checklist due date n working days after the notification.
 
-    The due date is worked out on the small per-signal table first, so the
+    A signal is one site and month, so these two join it; a site without a name
+    keeps its notification. The due date is worked out on the small per-signal table first, so the
     large final table is joined once.
     """
     f = add_working_days(formatted, "Date_Email", n, holidays, "due")
     f = f.select(F.col("Site_Code").alias("f_site"), F.col("Date_of_signal").alias("f_dos"),
-                 F.col("Site_Name").alias("f_name"), F.col("Email_Trust").alias("f_email"),
+                 F.col("Email_Trust").alias("f_email"),
                  F.col("Date_Email").alias("f_date"), F.col("due").alias("f_due"))
-    cond = ((final.Site_Code == f.f_site) & (final.Date_of_signal == f.f_dos) & (final.Site_Name == f.f_name))
+    cond = (final.Site_Code == f.f_site) & (final.Date_of_signal == f.f_dos)
     j = final.join(f, cond, "left")
     not_reset = F.col("Reset_Flag") != "Reset"
     return j.select(*[F.col(c) for c in final.columns],
@@ -102,22 +103,22 @@ def run_summary(final: DataFrame, formatted: DataFrame, lowered: DataFrame) -> D
     signals, the names of the sites with new signals and the message text.
 
     Every figure is a global aggregate (scalar subquery). The name list is the
-    notification's own content: one name per new signal, in site and month order.
+    notification's own content: one name per new signal (the code of a site
+    without a name), in site and month order; the table of new signals is written
+    besides, one row per signal. Without any event the date reads "none".
     """
     latest = final.filter(F.col("Event_Type").isNotNull()).agg(F.max("Date")).scalar()
     n_low = lowered.agg(F.count(F.lit(1))).scalar()
     new = formatted.filter(F.col("Email_Trust") == 1)
     order_key = F.struct("Site_Code", F.try_to_date(F.concat(F.lit("1 "), F.col("Date_of_signal")), "d MMMM yyyy"),
-                         "Site_Name")
+                         F.coalesce("Site_Name", "Site_Code").alias("Site_Name"))
     agg = new.agg(F.count(F.lit(1)).alias("Number_new_signals"),
                   F.transform(F.array_sort(F.collect_list(order_key)), lambda s: s["Site_Name"]).alias("_names"))
     names = F.when(F.col("Number_new_signals") == 0, F.lit("")).otherwise(
         F.concat(F.lit(" ("), english_list(F.col("_names")), F.lit(")")))
-    base = F.concat(F.lit("Signal calculations have run successfully. The latest event date is "),
-                    F.date_format(latest, "yyyy-MM-dd"), F.lit(". "),
-                    F.col("Number_new_signals").cast("string"), F.lit(" new signal(s) were generated today"),
-                    F.col("New_Site_Names"), F.lit("."))
-    low = F.concat(F.lit(" PLEASE NOTE that "), n_low.cast("string"), F.lit(" site(s) had a lower level of signal today."))
+    base = F.concat(F.lit("Signal run finished; events up to "), F.coalesce(F.date_format(latest, "yyyy-MM-dd"), F.lit("none")),
+                    F.lit("; new signals: "), F.col("Number_new_signals").cast("string"), F.col("New_Site_Names"), F.lit("."))
+    low = F.concat(F.lit(" Signals now at a lower level: "), n_low.cast("string"), F.lit("."))
     out = agg.select(latest.alias("Latest_Date"), "Number_new_signals", n_low.alias("Number_lower_signals"),
                      names.alias("New_Site_Names"))
     return out.withColumn("Message", F.when(F.col("Number_lower_signals") == 0, base)

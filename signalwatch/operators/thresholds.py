@@ -10,13 +10,13 @@ max(0, s + q x - a), and the chart signals when it reaches j or more (the same
 target is found by doubling then bisection.
 
 k is tried on the steps 0.01, 0.1, 0.2, 0.5 in that order; a step fails when
-the chain would need more than ``max_states`` states, and the next coarser
-step is used. Level 1 fixes k; each level reports the h of its own first
-successful step.
+the solve itself fails (k rounds to 0, or the system is singular), and the next
+coarser step is used, never because of the chain's size. Level 1 fixes k; each
+level reports the h of its own first successful step.
 
-Spark side: only the distinct in-control means are solved (a few hundred at
-most, bounded by the 0.01 rounding of ic); they are spread round-robin over
-the cluster's cores and each task solves its share with numpy in
+Spark side: only the distinct in-control means are solved (multiples of 0.01, so
+their number follows the largest mean, not the rows); they are spread round-robin
+over the cluster's cores and each task solves its share with numpy in
 ``mapInPandas``. The result is joined back by ic.
 """
 
@@ -68,18 +68,15 @@ def _lattice(k: float) -> tuple[int, int]:
     return cents // g, 100 // g
 
 
-def design_h(lam: float, k: float, target: float, max_states: int) -> tuple[float, float] | None:
-    """Smallest lattice h with ARL >= target for this k, or None when it needs
-    more than ``max_states`` states (or k is not positive)."""
+def design_h(lam: float, k: float, target: float) -> tuple[float, float] | None:
+    """Smallest lattice h with ARL >= target for this k, or None when k is not positive or the system is singular."""
     if not (lam > 0) or not (k > 0):
         return None
     a, q = _lattice(k)
     hi = 1
     arl_hi = arl_zero_start(lam, a, q, hi)
     while arl_hi < target:
-        if hi >= max_states:
-            return None
-        hi = min(hi * 2, max_states)
+        hi *= 2
         arl_hi = arl_zero_start(lam, a, q, hi)
     lo = hi // 2                          # ARL(lo) < target (or lo == 0)
     while hi - lo > 1:
@@ -92,8 +89,14 @@ def design_h(lam: float, k: float, target: float, max_states: int) -> tuple[floa
     return round(hi / q, 6), arl_hi
 
 
-def design_for_ic(ic: float, l1_arl: float = L1_ARL, l2_arl: float = L2_ARL, steps=K_STEPS,
-                  max_states: int = 1500) -> dict:
+def _try_design(lam: float, k: float, target: float) -> tuple[float, float] | None:
+    try:
+        return design_h(lam, k, target)
+    except np.linalg.LinAlgError:
+        return None
+
+
+def design_for_ic(ic: float, l1_arl: float = L1_ARL, l2_arl: float = L2_ARL, steps=K_STEPS) -> dict:
     """k, h_L1, h_L2 for one in-control mean (the out-of-control mean is 2 ic)."""
     out = {"ic": ic, "k": None, "h_L1": None, "h_L2": None, "arl_L1": None, "arl_L2": None}
     if ic is None or not (ic > 0) or math.isnan(ic):
@@ -102,12 +105,12 @@ def design_for_ic(ic: float, l1_arl: float = L1_ARL, l2_arl: float = L2_ARL, ste
     ref = (oc - ic) / (math.log(oc) - math.log(ic))
     ks = [float(np.rint(ref / st) * st) for st in steps]
     for k in ks:
-        r = design_h(ic, k, l1_arl, max_states)
+        r = _try_design(ic, k, l1_arl)
         if r is not None:
             out["k"], out["h_L1"], out["arl_L1"] = k, r[0], r[1]
             break
     for k in ks:
-        r = design_h(ic, k, l2_arl, max_states)
+        r = _try_design(ic, k, l2_arl)
         if r is not None:
             out["h_L2"], out["arl_L2"] = r[0], r[1]
             break
@@ -124,7 +127,7 @@ def _ship_by_value() -> None:
 
 
 def threshold_table(params: DataFrame, l1_arl: float = L1_ARL, l2_arl: float = L2_ARL, steps=K_STEPS,
-                    max_states: int = 1500, partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """L6 as a Spark job: distinct ic -> (ic, k, h_L1, h_L2) solved in parallel."""
     _ship_by_value()
     ics = params.select(F.col("inControlCount").alias("ic")).filter(F.col("ic").isNotNull()).distinct()
@@ -132,12 +135,12 @@ def threshold_table(params: DataFrame, l1_arl: float = L1_ARL, l2_arl: float = L
     # coalesced by AQE into one task (the table is tiny), serializing every
     # solve. Round-robin spreads the values evenly; Spark sorts before it, so a
     # retried task gets the same rows.
-    n = partitions or min(params.sparkSession.sparkContext.defaultParallelism, 256)
+    n = partitions or params.sparkSession.sparkContext.defaultParallelism
     ics = ics.repartition(n)
 
     def solve(batches):
         for pdf in batches:
-            rows = [design_for_ic(float(v), l1_arl, l2_arl, steps, max_states) for v in pdf["ic"]]
+            rows = [design_for_ic(float(v), l1_arl, l2_arl, steps) for v in pdf["ic"]]
             yield pd.DataFrame(rows, columns=["ic", "k", "h_L1", "h_L2", "arl_L1", "arl_L2"]).astype("float64")
 
     return ics.mapInPandas(solve, THRESHOLD_SCHEMA)

@@ -5,18 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalwatch.operators.lines import event_tooltip
+from signalwatch.functions.labels import outcome_label
+from signalwatch.functions.text import sorted_join
 from signalwatch.params import DAY_LABELS
 
 VLAD_COLS = ["Date", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Excess_Events", "Signal_Flag", "Event_Type"]
 
 
 def daily_events(events: DataFrame) -> DataFrame:
-    """Events per (site, day) with the daily tooltip."""
-    totals = (events.groupBy("Site_Code", "test_date")
-              .agg(F.sum("event_count").cast("long").alias("daily_count")))
-    tip = event_tooltip(events, "test_date", DAY_LABELS, "Event_Type")
-    return totals.join(tip, ["Site_Code", "test_date"], "left")
+    """Events per (site, day) with the daily tooltip.
+
+    Dealt out by (site, day) once: the counts per outcome and the day's total and
+    text are both worked out on that partitioning.
+    """
+    n = F.sum("event_count").cast("long").alias("n")
+    per = events.repartition("Site_Code", "test_date").groupBy("Site_Code", "test_date", "outcome").agg(n)
+    lab = outcome_label(F.col("outcome"), DAY_LABELS)
+    per = per.select("Site_Code", "test_date", "n", lab.alias("label"),
+                     F.concat(F.col("n").cast("string"), F.lit(" "), lab).alias("item"))
+    return per.groupBy("Site_Code", "test_date").agg(
+        F.sum("n").alias("daily_count"), sorted_join(F.col("label"), F.col("item")).alias("Event_Type"))
 
 
 def daily_expand(monthly: DataFrame) -> DataFrame:
@@ -74,8 +82,9 @@ LINE_COLS = ["Date_of_signal", "Cusum_Statistic", "Level_of_Signal", "Reset_Flag
              "Level2_6months", "Level1_12months", "Level2_12months", "Line_Type", "Line_Part"]
 
 
-def final_one_pass(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider: DataFrame) -> DataFrame:
-    """L17-L19 in one shuffle: daily line, site names and chart rows of the same day.
+def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider: DataFrame) -> DataFrame:
+    """L17-L19 in one shuffle: daily line, site names and chart rows of the same day; the excess is
+    blanked on level-2 threshold rows. A day may carry several chart rows.
 
     Event rows (kind 0), day rows (kind 1) and chart-line rows (kind 2) are
     unioned and partitioned by site once, ordered by (date, kind):
@@ -89,7 +98,7 @@ def final_one_pass(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provi
       chart rows (``lead``), so a day appears once per chart row, or once alone.
 
     The three windows share partitioning and ordering, so Spark adds no shuffle
-    or sort between them. Same rows as ``final_table(with_site_names(vlad(...)), lines)``.
+    or sort between them. Same rows as the daily line left-joined to the chart rows.
     """
     line_types = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
     nulls_line = [F.lit(None).cast(line_types[c]).alias(c) for c in LINE_COLS]
@@ -152,15 +161,3 @@ def with_site_names(v: DataFrame, provider: DataFrame) -> DataFrame:
     j = v.join(p, v.Site_Code == p.ps_site, "left")
     return j.select(F.col("Date_VLAD").alias("Date"), "Site_Code", "Site_Name", "ODS_Code", "ODS_Name",
                     F.col("cmltv_excess_events").alias("Excess_Events"), "Signal_Flag", "Event_Type")
-
-
-def final_table(vlad_named: DataFrame, lines: DataFrame) -> DataFrame:
-    """Daily line with the chart rows of the same (site, day); excess is blanked
-    on level-2 threshold rows. A day may carry several chart rows."""
-    j = vlad_named.join(lines, ["Site_Code", "Date"], "left")
-    lt = F.col("Line_Type")
-    exc = F.when(lt.isNull() | (lt != "Level2_Threshold"), F.col("Excess_Events"))
-    cols = ["Date", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Excess_Events", "Signal_Flag", "Event_Type",
-            "Date_of_signal", "Cusum_Statistic", "Level_of_Signal", "Reset_Flag", "Events_Desc",
-            "Level1_6months", "Level2_6months", "Level1_12months", "Level2_12months", "Line_Type", "Line_Part"]
-    return j.withColumn("Excess_Events", exc).select(*cols)

@@ -78,13 +78,13 @@ def bank_holidays(years: DataFrame, year_col: str = "year") -> DataFrame:
 def add_working_days(df: DataFrame, date_col: str, n: int, holidays: DataFrame, out: str) -> DataFrame:
     """``out`` = the n-th working day strictly after ``date_col`` (NULL stays NULL).
 
-    Only the distinct start dates are expanded: each gets the next 2n + 14
-    calendar days, enough for n working days in any stretch of the English
-    calendar (at most 4 weekend days and 5 holidays per 2 weeks); a start date
-    whose window held fewer would raise instead of returning a wrong date.
-    The holiday list is bounded by the years covered (8-10 rows a year).
+    Only the distinct start dates are expanded, each to as many calendar days as
+    n working days can take: n + H weekdays, H the number of holidays in the
+    table, so a closure of any length still leaves n of them. The holiday list
+    is bounded by the years covered (8-10 rows a year).
     """
-    span = 2 * n + 14
+    closed = holidays.agg(F.countDistinct("holiday")).scalar()
+    span = (F.ceil((F.lit(n) + closed) * 7 / 5) + 7).cast("int")
     starts = df.select(F.col(date_col).alias("_start")).filter(F.col("_start").isNotNull()).distinct()
     cand = starts.select("_start", F.explode(F.sequence(F.date_add("_start", 1),
                                                          F.date_add("_start", span))).alias("_day"))
@@ -92,8 +92,7 @@ def add_working_days(df: DataFrame, date_col: str, n: int, holidays: DataFrame,
     cand = cand.join(holidays.select(F.col("holiday").alias("_day")), "_day", "left_anti")
     ranked = (cand.groupBy("_start")
               .agg(F.array_sort(F.collect_list("_day")).alias("_days")))
-    due = ranked.select("_start", F.when(F.size("_days") >= n, F.element_at("_days", n))
-                        .otherwise(F.raise_error(F.lit("add_working_days: window too short"))).alias(out))
+    due = ranked.select("_start", F.element_at("_days", n).alias(out))
     return df.join(due, df[date_col] == due["_start"], "left").drop("_start")
 
 

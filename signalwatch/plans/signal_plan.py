@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from signalwatch.operators import cusum, grid, lines, register, thresholds, vlad, workdays
 from signalwatch.functions.dates import month_start, third_last_day
 from signalwatch.params import SignalParams
-from signalwatch.session import materialize
+from signalwatch.session import RunFolder
 
 
 class SignalFlow:
@@ -19,44 +19,59 @@ class SignalFlow:
     ``old_register`` is the last run's register, or a callable that derives it
     from this flow (used by the test tables), or None for a first run.
 
-    ``persist=True`` writes three tables to the shared checkpoint folder: the
-    month grid with denominators and rates (input of the parameters, the
-    threshold design and the fold), the monthly chart rows (input of the line
+    ``threshold_table`` is a given table (ic, k, h_L1, h_L2) instead of the design.
+
+    ``persist=True`` writes four tables to a run folder in the shared checkpoint
+    folder: the events summed by (site, day, month, outcome), the only scan of the
+    events; the month grid with denominators and rates (input of the parameters, the
+    threshold design and the fold); the monthly chart rows (input of the line
     set, the daily line and the register) and the final table with its
-    notification columns (the run's output, read again by the summary). The
-    writes also cut the lineage for executor loss.
+    notification columns (the run's output, read again by the summary; a batch run
+    writes it straight to its place). The writes also cut the lineage for executor loss.
     """
 
     def __init__(self, events: DataFrame, denoms: DataFrame, rates: DataFrame, provider: DataFrame,
                  params: SignalParams, old_register=None, holidays: DataFrame | None = None,
-                 persist: bool = True):
+                 persist: bool = True, threshold_table: DataFrame | None = None):
         self.events_in, self.denoms_in, self.rates, self.provider = events, denoms, rates, provider
         self.p = params
         self.persist = persist
         self._old = old_register
         self._holidays = holidays
+        self._given = threshold_table
+        self.folder = RunFolder(events.sparkSession) if persist else None
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self.folder.keep(df, name) if self.persist else df
 
     # --- grid and parameters ------------------------------------------------
+    @cached_property
+    def base(self) -> DataFrame:
+        """Events by (site, day, month, outcome); everything later reads this instead of the events."""
+        keys = ["Site_Code", "test_date", "year_month", "outcome"]
+        return self._keep(self.events_in.groupBy(*keys).agg(F.sum("event_count").alias("event_count")), "event_days")
+
     @cached_property
     def events(self) -> DataFrame:
-        return self.events_in.dropna(subset=["Site_Code", "year_month"])
+        """The events that can be charted; those without a site or month are counted by ``signal_gates``."""
+        return self.base.dropna(subset=["Site_Code", "year_month"])
 
     @cached_property
     def monthly(self) -> DataFrame:          # L1
-        return grid.monthly_events(self.events)
+        return self._keep(grid.monthly_events(self.events), "event_months")
 
     @cached_property
     def annual(self) -> DataFrame:           # L2
-        return grid.annual_denominators(self.denoms_in, self.monthly)
+        return self._keep(grid.annual_denominators(self.denoms_in, self.monthly), "annual")
 
     @cached_property
     def grid(self) -> DataFrame:             # L3
-        return grid.site_month_grid(self.monthly, self.annual, self.p.max_months, self.p.full_month_calendar)
+        return grid.site_month_grid(self.monthly, self.annual, self.p.full_month_calendar)
 
     @cached_property
     def df_for_cusum(self) -> DataFrame:     # L4
         df = grid.attach_reference(self.grid, self.annual, self.rates, self.p.selected_measure)
-        return materialize(df, "month_grid") if self.persist else df
+        return self._keep(df, "month_grid")
 
     @cached_property
     def control(self) -> DataFrame:          # L5
@@ -64,28 +79,37 @@ class SignalFlow:
 
     @cached_property
     def threshold_table(self) -> DataFrame:  # L6
-        return thresholds.threshold_table(self.control, self.p.l1_arl, self.p.l2_arl, self.p.k_steps,
-                                          self.p.max_chain_states)
+        if self._given is not None:
+            return self._given
+        return thresholds.threshold_table(self.control, self.p.l1_arl, self.p.l2_arl, self.p.k_steps)
+
+    def use_thresholds(self, given: DataFrame) -> None:
+        """A given threshold table instead of the design."""
+        self._given = given
 
     @cached_property
     def with_thresholds(self) -> DataFrame:  # L7
         if self.p.fixed_thresholds is not None:
-            return grid.attach_thresholds(self.df_for_cusum, self.control, fixed=self.p.fixed_thresholds)
-        return grid.attach_thresholds(self.df_for_cusum, self.control, thresholds=self.threshold_table)
+            return grid.attach_thresholds(self.df_for_cusum, fixed=self.p.fixed_thresholds)
+        return grid.attach_thresholds(self.df_for_cusum, thresholds=self.threshold_table)
 
     @cached_property
     def signal_gates(self) -> DataFrame:     # N6, N8 reported instead of stopping the run
-        """One row: site-years without a design (missing rate or denominator, ic <= 0),
-        chart months without thresholds, and events at sites without denominators."""
+        """One row: site-years without a design (missing rate or denominator, ic <= 0), chart
+        months without thresholds, events at sites without denominators, and events
+        without a site or a month."""
         missing = self.with_thresholds.agg(
             F.count_if(F.col("k").isNull() | F.col("h_L2").isNull())).scalar()
         sites = self.annual.select("Site_Code").distinct()
         lost = (self.events.join(sites, "Site_Code", "left_anti")
                 .agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar())
+        no_key = F.col("Site_Code").isNull() | F.col("year_month").isNull()
+        unkeyed = self.base.filter(no_key).agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar()
         return self.control.agg(
             F.count_if(F.col("inControlCount").isNull() | (F.col("inControlCount") <= 0))
              .alias("site_years_without_design")
-        ).select("*", missing.alias("months_without_threshold"), lost.alias("events_without_denominator"))
+        ).select("*", missing.alias("months_without_threshold"), lost.alias("events_without_denominator"),
+                 unkeyed.alias("events_without_key"))
 
     # --- chart ---------------------------------------------------------------
     @cached_property
@@ -115,7 +139,7 @@ class SignalFlow:
     @cached_property
     def cusum_out(self) -> DataFrame:
         df = lines.cusum_output(self.recency)
-        return materialize(df, "chart_months") if self.persist else df
+        return self._keep(df, "chart_months")
 
     @cached_property
     def resets(self) -> DataFrame:           # L13
@@ -144,9 +168,7 @@ class SignalFlow:
 
     @cached_property
     def final(self) -> DataFrame:            # L19
-        if self.p.final_in_one_pass:
-            return vlad.final_one_pass(self.cusum_out, self.daily, self.lines, self.provider)
-        return vlad.final_table(self.vlad_named, self.lines)
+        return vlad.final_table(self.cusum_out, self.daily, self.lines, self.provider)
 
     # --- register ----------------------------------------------------------------
     @cached_property
@@ -161,6 +183,14 @@ class SignalFlow:
     def register(self) -> DataFrame:         # L20
         return register.signal_register(self.chart_named)
 
+    @property
+    def has_register(self) -> bool:
+        return self._old is not None
+
+    def use_register(self, old: DataFrame | None) -> None:
+        """The last run's register; before anything that compares with it is read."""
+        self._old = old
+
     @cached_property
     def old_register(self) -> DataFrame:
         if callable(self._old):
@@ -185,14 +215,21 @@ class SignalFlow:
     def holidays(self) -> DataFrame:
         if self._holidays is not None:
             return self._holidays
-        # years of the daily line (= years of the grid months) and one more
-        return workdays.bank_holidays(workdays.years_between(
-            self.monthly.select(month_start(F.col("year_month")).alias("d")), "d", 1))
+        # years of the notification dates and one more, as a due date may fall into the next year
+        return workdays.bank_holidays(workdays.years_between(self.compare, "Date_Email", 1))
+
+    def notified_plan(self) -> DataFrame:    # L22, L23
+        return register.with_notifications(self.final, self.formatted, self.holidays, self.p.checklist_working_days)
 
     @cached_property
-    def notified(self) -> DataFrame:         # L22, L23
-        df = register.with_notifications(self.final, self.formatted, self.holidays, self.p.checklist_working_days)
-        return materialize(df, "final_table") if self.persist else df
+    def notified(self) -> DataFrame:
+        return self._keep(self.notified_plan(), "final_table")
+
+    def write_final(self, path: str) -> None:
+        """Write the final table to its place; what reads it later (the summary) reads it there."""
+        plan = self.notified_plan()
+        plan.write.mode("overwrite").parquet(path)
+        self.notified = plan.sparkSession.read.parquet(path)
 
     @cached_property
     def dropped(self) -> DataFrame:          # L24

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from signalwatch.operators import clean, denominators, quality
 from signalwatch.params import SourceParams
-from signalwatch.session import materialize
+from signalwatch.session import RunFolder
 
 
 class SourceFlow:
@@ -24,6 +24,10 @@ class SourceFlow:
                  params: SourceParams = SourceParams(), fast: bool = False, persist: bool = False):
         self.raw, self.provider, self.mergers, self.pmap = raw, provider, mergers, pmap
         self.p, self.fast, self.persist = params, fast, persist
+        self.folder = RunFolder(raw.sparkSession) if persist else None
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return self.folder.keep(df, name) if self.persist else df
 
     @cached_property
     def births(self) -> DataFrame:          # J1 (PDS_raw)
@@ -52,7 +56,7 @@ class SourceFlow:
     @cached_property
     def with_trust(self) -> DataFrame:      # J7
         df = clean.with_trust(self.postcode_mapped, self.provider)
-        return materialize(df, "births_with_trust") if self.persist else df
+        return self._keep(df, "births_with_trust")
 
     @cached_property
     def current(self) -> DataFrame:         # J8
@@ -61,13 +65,12 @@ class SourceFlow:
     @cached_property
     def events(self) -> DataFrame:          # J9
         df = clean.events_extract(self.current, self.provider)
-        return materialize(df, "events") if self.persist else df
+        return self._keep(df, "events")
 
     @cached_property
     def births_by_month(self) -> DataFrame:  # J10
         df = denominators.births_by_month(self.current)
-        # small (sites x months) and read three times by the densification
-        return materialize(df, "births_by_month") if self.persist else df
+        return self._keep(df, "births_by_month")  # sites x months, read three times by the densification
 
     @cached_property
     def all_births(self) -> DataFrame:
@@ -75,7 +78,7 @@ class SourceFlow:
 
     @cached_property
     def denoms(self) -> DataFrame:          # J11
-        return denominators.denoms_complete(self.all_births)
+        return self._keep(denominators.denoms_complete(self.all_births), "denoms")
 
     @cached_property
     def unmapped(self) -> DataFrame:        # K1
@@ -83,7 +86,8 @@ class SourceFlow:
 
     @cached_property
     def unmapped_totals(self) -> DataFrame:  # K2
-        return quality.unmapped_totals(self.unmapped)
+        rows = quality.unmapped_rows(self.with_trust if self.persist else self.postcode_mapped)
+        return self._keep(quality.unmapped_totals(rows), "unmapped_totals")
 
     @cached_property
     def new_sites(self) -> DataFrame:       # K3
@@ -91,7 +95,8 @@ class SourceFlow:
 
     @cached_property
     def new_sites_count(self) -> DataFrame:  # K4
-        return quality.new_sites_count(self.new_sites)
+        rows = quality.new_site_rows(self.with_trust, self.provider, self.p.ignore_codes, self.p.ignore_prefix)
+        return self._keep(quality.new_sites_count(rows), "new_sites_count")
 
     @cached_property
     def mapping_gates(self) -> DataFrame:   # N13

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from signalwatch.params import SignalParams, SourceParams
 from signalwatch.plans.signal_plan import SignalFlow
@@ -24,17 +23,19 @@ def source_flow(spark: SparkSession, sf_dir: str, fast: bool = False, persist: b
 def signal_flow(spark: SparkSession, sf_dir: str, fixed=FIXED_H, fast: bool = True,
                 persist: bool = True, src: SourceFlow | None = None) -> SignalFlow:
     src = src or source_flow(spark, sf_dir, fast=fast, persist=persist)
-    return _signal_from_source(src, fixed, persist)
+    return signal_from_source(src, fixed, persist)
 
 
-def _signal_from_source(src: SourceFlow, fixed, persist: bool) -> SignalFlow:
-    events_all = src.events
-    rates = tb.reference_rates(events_all, src.denoms)
-    events = events_all.filter(F.col("test_date") >= F.lit(tb.SIGNAL_START))
-    params = SignalParams(run_date=tb.RUN_DATE, fixed_thresholds=fixed)
-    return SignalFlow(events, src.denoms, rates, src.provider, params,
-                      old_register=lambda flow: tb.previous_register(flow.register, tb.RUN_DATE),
-                      persist=persist)
+def signal_from_source(src: SourceFlow, fixed, persist: bool, measure: str = "All", given: bool = False,
+                       unkeyed: bool = False) -> SignalFlow:
+    denoms = tb.signal_denominators(src.denoms)
+    rates = tb.reference_rates(src.events, denoms)
+    params = SignalParams(run_date=tb.RUN_DATE, fixed_thresholds=fixed, selected_measure=measure)
+    flow = SignalFlow(tb.with_unkeyed(src.events) if unkeyed else src.events, denoms, rates, src.provider, params,
+                      old_register=lambda flow: tb.previous_register(flow.register, tb.RUN_DATE), persist=persist)
+    if given:
+        flow.use_thresholds(tb.given_thresholds(flow.control))
+    return flow
 
 
 _CACHE: dict = {}
@@ -50,6 +51,7 @@ def shared_flows(spark: SparkSession, sf_dir: str):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         src = source_flow(spark, sf_dir, fast=True, persist=True)
-        _CACHE[key] = {"src": src, "fixed": _signal_from_source(src, FIXED_H, True),
-                       "designed": _signal_from_source(src, None, True)}
+        _CACHE[key] = {"src": src, "fixed": signal_from_source(src, FIXED_H, True),
+                       "designed": signal_from_source(src, None, True),
+                       "given": signal_from_source(src, None, True, given=True)}
     return _CACHE[key]

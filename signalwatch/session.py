@@ -20,7 +20,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "8g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -39,7 +39,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="signalwatch-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -48,18 +48,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+class RunFolder:
+    """The intermediate tables of one run: a folder of its own under the shared checkpoint folder.
 
-    Cuts the lineage so that a lost executor costs one re-read, not a rerun of
-    the whole cleaning chain, and lets several outputs share one computation.
-    Parquet rather than ``checkpoint()``: the planner then sees the real file
-    sizes (a checkpointed plan keeps estimated sizes, and at sf0.1 that turned
-    two broadcast joins of the final table into sort-merge joins).
+    A table is written as parquet and read back. That cuts the lineage, so a lost
+    executor costs one re-read and not a rerun of the whole chain, and lets several
+    outputs share one computation. Parquet rather than ``checkpoint()``: the planner
+    then sees the real file sizes. ``remove()`` deletes the folder at the end of a run.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
 
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = os.path.join(ensure_checkpoint_dir(spark), f"run-{uuid.uuid4().hex}")
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = os.path.join(self.path, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def remove(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -18,10 +18,10 @@ DENOMS_CSV = _s(("Site_Code", StringType()), ("Period", StringType()), ("Term_Bi
                 ("Term_Live_Births", IntegerType()), ("Year", IntegerType()))
 REF_RATE_CSV = _s(("Year", StringType()), ("Events", IntegerType()), ("Denom", IntegerType()),
                   ("Ref_Rate", DoubleType()), ("Source", StringType()))
+# A rate file may give each site its own rate.
+REF_RATE_OPTIONAL = _s(("Site_Code", StringType()))
 PROVIDER_SITE_CSV = _s(("Site_Code", StringType()), ("Site_Name", StringType()),
                        ("Trust_Code", StringType()), ("Trust_Name", StringType()))
-REGISTER = _s(("ID", StringType()), ("Site_Code", StringType()), ("Site_Name", StringType()),
-              ("ODS_Code", StringType()), ("ODS_Name", StringType()), ("Date_Email", DateType()))
 
 # Source pipeline inputs.
 BIRTHS = _s(("Dob", StringType()), ("Actual_delivery_Ods_Code", StringType()),

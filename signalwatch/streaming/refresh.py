@@ -10,7 +10,11 @@ not processed yet (progress lives in the stream's checkpoint location), and
 * the final table, the day's signals and the new register are written under
   ``run_date=`` partitions with dynamic overwrite, so a replayed batch
   rewrites exactly its own partitions (idempotent on retry),
-* the one-row run summary is appended to a summary table.
+* the one-row run summary is written to a summary table.
+
+The run date is the day on which the extract's file was last written, so a replay
+on a later day rewrites the same partitions. A second extract of one day replaces
+the first one's outputs, as a second run on one day does.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from signalwatch.functions.dates import parse_date_any
@@ -47,18 +52,21 @@ def process_extract(extract: DataFrame, denoms: DataFrame, rates: DataFrame, pro
 
 def start_refresh(spark: SparkSession, events_dir: str, denoms: DataFrame, rates: DataFrame, provider: DataFrame,
                   out_base: str, checkpoint_location: str,
-                  params_for: Callable[[int], SignalParams] | None = None) -> StreamingQuery:
+                  params_for: Callable[[_dt.date], SignalParams] | None = None) -> StreamingQuery:
     """Process every extract that arrived since the last run, one micro-batch per file.
 
-    ``params_for(batch_id)`` gives the run's parameters; by default the run
-    date is the processing date.
+    ``params_for(day)`` gives the run's parameters for the day on which the file was
+    last written; by default that day is the run date.
     """
-    params_for = params_for or (lambda _bid: SignalParams(run_date=_dt.date.today()))
+    params_for = params_for or (lambda day: SignalParams(run_date=day))
     stream = (spark.readStream.schema(schemas.EVENTS_CSV).option("header", True)
-              .option("maxFilesPerTrigger", 1).csv(events_dir))
+              .option("maxFilesPerTrigger", 1).csv(events_dir)
+              .select("*", F.col("_metadata.file_modification_time").alias("written")))
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        process_extract(df, denoms, rates, provider, params_for(batch_id), out_base)
+        day = df.agg(F.max(F.to_date("written"))).first()[0]
+        if day is not None:
+            process_extract(df.drop("written"), denoms, rates, provider, params_for(day), out_base)
 
     return (stream.writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint_location)

@@ -1,6 +1,7 @@
 """Properties and semantic notes on the test tables (sf0.001) and small hand-made series."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,8 +26,11 @@ def test_vlad_end_value(flow):
     """Cumulative excess at a site's last day = its events - sum over months of rate x denominator."""
     last = (flow.vlad.groupBy("Site_Code").agg(F.max_by("cmltv_excess_events", "Date_VLAD").alias("end"),
                                                F.sum("daily_count").alias("events")))
-    exp = flow.cusum_out.groupBy("Site_Code").agg(F.sum(F.col("Ref_Rate") * F.col("denominator")).alias("expected"))
-    for r in last.join(exp, "Site_Code").collect():
+    exp = (flow.cusum_out.groupBy("Site_Code").agg(F.sum(F.col("Ref_Rate") * F.col("denominator")).alias("expected"),
+                                                   F.count_if(F.col("denominator").isNull()).alias("gaps")))
+    short = exp.filter("gaps > 0")  # the supplier without its last year: no running excess from there on
+    assert short.count() == 1 and last.join(short, "Site_Code").first().end is None
+    for r in last.join(exp.filter("gaps = 0"), "Site_Code").collect():
         assert r.end == pytest.approx(r.events - r.expected, abs=1e-6)
 
 
@@ -71,7 +75,8 @@ def test_upgrade_notifies_again(spark):
 def test_contract(spark):
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q) and set(q) - set(o) == {"threshold_table", "final_designed"}
+    own = {k for k in q if k != "pipeline" and not re.match(r"op\d+_", k)}  # the rest belongs to a subpackage that may be absent
+    assert set(o) <= set(q) and own - set(o) == {"threshold_table"}
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["Date", "Site_Code", "Site_Name"]

@@ -17,22 +17,30 @@ def _write_extract(path):
 
 
 def test_refresh_two_weeks(spark):
-    from signalwatch.params import SignalParams
     from signalwatch.streaming.refresh import start_refresh
     base = tempfile.mkdtemp(prefix="signalwatch-stream-", dir="/tmp")
     drops, out, ck = (os.path.join(base, x) for x in ("drops", "out", "ck"))
     os.makedirs(drops)
     _, denoms, rates, provider = frames(spark)
-    dates = {0: dt.date(2025, 7, 1), 1: dt.date(2025, 7, 8)}
-    params_for = lambda bid: SignalParams(run_date=dates[bid])
 
-    _write_extract(os.path.join(drops, "week1.csv"))
-    start_refresh(spark, drops, denoms, rates, provider, out, ck, params_for).awaitTermination()
-    _write_extract(os.path.join(drops, "week2.csv"))
-    start_refresh(spark, drops, denoms, rates, provider, out, ck, params_for).awaitTermination()
+    def drop(name, day):
+        path = os.path.join(drops, name)
+        _write_extract(path)
+        noon = dt.datetime.combine(day, dt.time(12), dt.timezone.utc).timestamp()
+        os.utime(path, (noon, noon))
+
+    drop("week1.csv", dt.date(2025, 7, 1))
+    start_refresh(spark, drops, denoms, rates, provider, out, ck).awaitTermination()
+    drop("week2.csv", dt.date(2025, 7, 8))
+    start_refresh(spark, drops, denoms, rates, provider, out, ck).awaitTermination()
 
     summary = {r.run_date: r.Number_new_signals for r in spark.read.parquet(os.path.join(out, "summary")).collect()}
     assert summary == {dt.date(2025, 7, 1): 9, dt.date(2025, 7, 8): 0}
     reg = spark.read.parquet(os.path.join(out, "register"))
     assert reg.filter("run_date = DATE'2025-07-08'").count() == 9
     assert reg.filter("run_date = DATE'2025-07-08'").select("Date_Email").distinct().first()[0] == dt.date(2025, 7, 1)
+
+    # a replay of both extracts on a later day (a lost stream checkpoint) rewrites the same partitions
+    start_refresh(spark, drops, denoms, rates, provider, out, os.path.join(base, "ck2")).awaitTermination()
+    again = {r.run_date: r.Number_new_signals for r in spark.read.parquet(os.path.join(out, "summary")).collect()}
+    assert again == summary

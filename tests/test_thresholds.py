@@ -2,6 +2,8 @@
 
 import pytest
 
+import numpy as np
+
 from signalwatch.operators.thresholds import _lattice, arl_zero_start, design_for_ic
 
 POINTS = [  # ic -> k, h1, h2 (FIXTURES.md section 3)
@@ -35,8 +37,17 @@ def test_missing_or_zero_ic():
     assert design_for_ic(float("nan"))["k"] is None
 
 
-def test_coarser_step_when_chain_too_long():
-    d = design_for_ic(0.42, max_states=100)
+def test_coarser_step_only_when_a_solve_fails(monkeypatch):
+    """A singular system moves on to the next step; size never does."""
+    from signalwatch.operators import thresholds
+    plain = thresholds.arl_zero_start
+
+    def fails_on_cents(lam, a, q, j):
+        if q == 100:
+            raise np.linalg.LinAlgError
+        return plain(lam, a, q, j)
+    monkeypatch.setattr(thresholds, "arl_zero_start", fails_on_cents)
+    d = design_for_ic(0.42)
     assert round(d["k"], 1) == 0.6 and d["h_L1"] is not None
 
 

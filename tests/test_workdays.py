@@ -2,14 +2,14 @@
 
 import datetime as dt
 
-from signalwatch.plans.oracle import HOLIDAYS_1998_2002
+from signalwatch.plans.oracle import HOLIDAYS_1991_2002
 
 
-def test_holidays_1998_2002(spark):
+def test_holidays_1991_2002(spark):
     from signalwatch.operators.workdays import bank_holidays
-    years = spark.range(1998, 2003).withColumnRenamed("id", "year")
+    years = spark.range(1991, 2003).withColumnRenamed("id", "year")
     got = sorted(r.holiday.isoformat() for r in bank_holidays(years).collect())
-    assert got == sorted(HOLIDAYS_1998_2002)
+    assert got == sorted(HOLIDAYS_1991_2002)
 
 
 def test_recent_years(spark):
