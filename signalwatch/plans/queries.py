@@ -14,9 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalwatch.functions.dates import parse_date_any
 from signalwatch.functions.rounding import round6
 from signalwatch.operators import clean, cusum, workdays
 from signalwatch.plans.testbed_plan import FIXED_H, shared_flows, signal_from_source, source_flow
+from signalwatch.session import RunFolder
+from signalwatch.sources.readers import read_denoms, read_events, read_register, read_text
+from signalwatch.sources.sinks import write_csv, write_dated, write_parquet, write_register
 
 Query = Callable[[SparkSession, str], DataFrame]
 START_DATE = dt.date(1996, 1, 1)
@@ -220,6 +224,13 @@ def q_threshold_table(spark, d):
     return shared_flows(spark, d)["designed"].threshold_table
 
 
+@query("threshold_half_step")
+def q_threshold_half_step(spark, d):
+    """The ARL design on the coarsest step with short targets, where SQL can sum the survival chances."""
+    from signalwatch.operators.thresholds import threshold_table
+    return threshold_table(_sig(spark, d).control, 5, 10, (0.5,)).select("ic", "k", "h_L1", "h_L2")
+
+
 @query("signal_gates")
 def q_signal_gates(spark, d):
     """The signal gates on events some of which have a second row without a month."""
@@ -375,10 +386,71 @@ def q_run_summary(spark, d):
     return _sig(spark, d).summary
 
 
+# ------------------------------------------------- readers and sinks
+def _folder(spark) -> str:
+    return RunFolder(spark).path
+
+
+@query("csv_events")
+def q_csv_events(spark, d):
+    """The events as CSV, blank rows among them, read back by header name."""
+    events = _src(spark, d).events
+    blank = spark.range(3).select(*[F.lit(None).cast(t).alias(c) for c, t in events.dtypes])
+    path = _folder(spark)
+    write_csv(events.unionByName(blank), path)
+    return read_events(spark, path)
+
+
+@query("csv_denoms")
+def q_csv_denoms(spark, d):
+    """A1, A5: the denominators as CSV and back."""
+    path = _folder(spark)
+    write_csv(_src(spark, d).denoms, path)
+    return read_denoms(spark, path)
+
+
+@query("parquet_final")
+def q_parquet_final(spark, d):
+    """The final table as parquet and back."""
+    path = _folder(spark)
+    write_parquet(_r(_sig(spark, d).final, "Excess_Events"), path)
+    return spark.read.parquet(path)
+
+
+@query("csv_register")
+def q_csv_register(spark, d):
+    """The register compare as one CSV file and back."""
+    path = _folder(spark)
+    write_csv(_sig(spark, d).compare, path, single_file=True)
+    return read_text(spark, path).withColumns({"Email_Trust": F.col("Email_Trust").cast("int"), "Date_Email": parse_date_any("Date_Email")})
+
+
+@query("register_history")
+def q_register_history(spark, d):
+    """Two runs' registers under their dates; what the run of each date and a later one would read."""
+    flow, path = _sig(spark, d), _folder(spark)
+    earlier = flow.p.run_date - dt.timedelta(days=14)
+    write_register(flow.old_register, path, earlier)
+    write_register(flow.new_register, path, flow.p.run_date)
+    asof = [flow.p.run_date, flow.p.run_date + dt.timedelta(days=7)]
+    first, second = (read_register(spark, path, day).withColumn("read_on", F.lit(day)) for day in asof)
+    return first.unionByName(second)
+
+
+@query("dated_signals")
+def q_dated_signals(spark, d):
+    """The day's signals as a dated snapshot; a second write of the day replaces only that day."""
+    flow, path = _sig(spark, d), _folder(spark)
+    write_dated(flow.register.limit(0), path, flow.p.run_date)
+    write_dated(flow.register, path, flow.p.run_date - dt.timedelta(days=7))
+    write_dated(flow.register, path, flow.p.run_date)
+    write_dated(flow.register, path, flow.p.run_date)
+    return spark.read.parquet(path)
+
+
 @query("parse_dates")
 def q_parse_dates(spark, d):
     """I4 on text dates built from the ship dates in both accepted formats."""
-    from signalwatch.functions.dates import parse_date_any
     from signalwatch.sources.testbed import table
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("s"))
     txt = F.when(F.col("l_orderkey") % 2 == 0, F.date_format("s", "yyyy-MM-dd")).otherwise(
