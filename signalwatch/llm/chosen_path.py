@@ -125,12 +125,15 @@ def runs_needed(threshold: float, recall: float, branches: float = BRANCHES, lev
 def close_in_sketch(sk: np.ndarray, n: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs may reach the threshold: sizes allow it and the sketches agree within four standard deviations."""
     m = len(n)
-    same, either = np.zeros((m, m), np.int16), np.zeros((m, m), np.int16)
-    for b in range(BINS):
-        c = sk[:, b]
-        full = c > 0
-        same += (c[:, None] == c[None]) & full[:, None]
-        either += full[:, None] | full[None]
+    full = sk > 0
+    if m <= 48:
+        same = ((sk[:, None] == sk[None]) & full[:, None]).sum(2)
+        either = (full[:, None] | full[None]).sum(2)
+    else:  # bin by bin, to hold no more than a few matrices
+        same, either = np.zeros((m, m), np.int16), np.zeros((m, m), np.int16)
+        for b in range(BINS):
+            same += (sk[:, b, None] == sk[None, :, b]) & full[:, b, None]
+            either += full[:, b, None] | full[None, :, b]
     least = threshold - 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(either, 1))
     ok = same >= least * either
     ok &= np.minimum(n[:, None], n[None]) >= threshold * np.maximum(n[:, None], n[None]) - 1e-9
