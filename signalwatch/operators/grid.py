@@ -37,12 +37,23 @@ def annual_denominators(denoms: DataFrame, monthly: DataFrame) -> DataFrame:
                  F.avg("Term_Live_Births").alias("Monthly_Term_Live_Births")))
 
 
-def site_month_grid(monthly: DataFrame, annual: DataFrame, full_calendar: bool = False) -> DataFrame:
-    """L3 + C5/C6: every site with denominators x every month with an event anywhere.
-
-    The month list is one sorted array from a scalar subquery, as long as the
-    calendar, exploded per site. Missing counts become 0. ``full_calendar`` (N7) uses every month from the first to the last
-    month with an event instead, so a month without any event still gets rows.
+def _by_site(df: DataFrame, key: str, value, name: str) -> DataFrame:
+    """One row per site with a map key -> value; as long as the calendar."""
+    return df.groupBy("Site_Code").agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), value))).alias(name))
+
+
+def month_grid(monthly: DataFrame, annual: DataFrame, rates: DataFrame, measure: str = "All",
+               full_calendar: bool = False) -> DataFrame:
+    """L3 + L4 + C5/C6: every site with denominators x every month with an event anywhere, with its
+    count (0 where missing), the denominator of year Y-1 and the rate of period '(Y-3)-(Y-1)'.
+
+    Counts by month and denominators by year are gathered per site (both as long as the
+    calendar) and looked up when the site's months are exploded, so sites and counts meet
+    in one join on the site and the grid itself is never shuffled. The month list is one
+    sorted array from a scalar subquery. ``full_calendar`` (N7) uses every month from the
+    first to the last month with an event instead, so a month without any event still
+    gets rows. The rate table joins on (site, period) when it has a site column, else on
+    the period only (national rates).
     """
     if full_calendar:
         first = F.to_date(F.concat(F.min("year_month"), F.lit("-01")))
@@ -51,34 +62,24 @@ def site_month_grid(monthly: DataFrame, annual: DataFrame, full_calendar: bool =
         months = monthly.agg(F.transform(seq, lambda d: F.date_format(d, "yyyy-MM"))).scalar()
     else:
         months = monthly.agg(F.array_sort(F.collect_set("year_month"))).scalar()
-    sites = annual.select("Site_Code").distinct()
-    grid = sites.select("Site_Code", F.explode(months).alias("year_month"))
-    counts = monthly.select("Site_Code", "year_month", "monthly_count")
-    g = grid.join(counts, ["Site_Code", "year_month"], "left")
-    return period_keys(g.select("Site_Code", "year_month",
-                                F.coalesce(F.col("monthly_count"), F.lit(0).cast("long")).alias("numerator")))
-
+    births = F.col("Monthly_Term_Births") if measure == "All" else F.col("Monthly_Term_Live_Births")
+    sites = _by_site(annual, "Year", births, "births").join(
+        _by_site(monthly, "year_month", F.col("monthly_count"), "counts"), "Site_Code", "left")
+    g = period_keys(sites.select("Site_Code", "births", "counts", F.explode(months).alias("year_month")))
+    g = g.select("Site_Code", "year_month", "refrate_period",
+                 F.coalesce(F.try_element_at("counts", F.col("year_month")), F.lit(0).cast("long")).alias("numerator"),
+                 F.try_element_at("births", F.col("denom_period")).alias("denominator"))
+    by_site = "Site_Code" in rates.columns
+    r = rates.select(F.col("Year").alias("r_period"), "Ref_Rate", *([F.col("Site_Code").alias("r_site")] if by_site else []))
+    cond = F.col("refrate_period") == F.col("r_period")
+    g = g.join(r, cond & (F.col("Site_Code") == F.col("r_site")) if by_site else cond, "left")
+    return g.select("Site_Code", "year_month", "numerator", "refrate_period", "Ref_Rate",
+                    _event_year(F.col("year_month")).alias("Event_Year"), "denominator")
 
-def attach_reference(grid: DataFrame, annual: DataFrame, rates: DataFrame, measure: str = "All") -> DataFrame:
-    """L4: denominator of year Y-1 and the rate of period '(Y-3)-(Y-1)'.
 
-    The rate table joins on (site, period) when it has a site column, else on
-    the period only (national rates).
-    """
-    a = annual.select(F.col("Site_Code").alias("a_site"), F.col("Year").alias("a_year"),
-                      "Monthly_Term_Births", "Monthly_Term_Live_Births")
-    g = grid.join(a, (grid.Site_Code == a.a_site) & (grid.denom_period == a.a_year), "left")
-    if "Site_Code" in rates.columns:
-        r = rates.select(F.col("Site_Code").alias("r_site"), F.col("Year").alias("r_period"), "Ref_Rate")
-        cond = (g.Site_Code == r.r_site) & (g.refrate_period == r.r_period)
-    else:
-        r = rates.select(F.col("Year").alias("r_period"), "Ref_Rate")
-        cond = g.refrate_period == r.r_period
-    g = g.join(r, cond, "left")
-    denom = F.col("Monthly_Term_Births") if measure == "All" else F.col("Monthly_Term_Live_Births")
-    return g.select("Site_Code", "year_month", "numerator", "refrate_period", "Ref_Rate",
-                    _event_year(F.col("year_month")).alias("Event_Year"),
-                    denom.alias("denominator"))
+def site_month_grid(month_rows: DataFrame) -> DataFrame:
+    """L3: the grid alone, with its period keys."""
+    return period_keys(month_rows.select("Site_Code", "year_month", "numerator"))
 
 
 def control_parameters(df_for_cusum: DataFrame) -> DataFrame:

@@ -54,11 +54,14 @@ def compare_formatted(compare: DataFrame) -> DataFrame:
     return compare.select("Site_Code", label.alias("Date_of_signal"), "Site_Name", "Email_Trust", "Date_Email")
 
 
+NOTIFICATION_COLS = ["Email_Trust", "Date_Email", "Date_Checklist"]
+
+
 def with_notifications(final: DataFrame, formatted: DataFrame, holidays: DataFrame, n: int = 8) -> DataFrame:
     """L22 + L23: notify flag and date on the signal's own row (never on reset rows),
     and the checklist due date n working days after the notification.
 
-    A signal is one site and month, so these two join it; a site without a name
+    ``final`` is the final table or the chart rows it is made of. A signal is one site and month, so these two join it; a site without a name
     keeps its notification. The due date is worked out on the small per-signal table first, so the
     large final table is joined once.
     """

@@ -78,11 +78,11 @@ def vlad(monthly: DataFrame, daily: DataFrame) -> DataFrame:
                     "daily_count", "Event_Type")
 
 
-LINE_COLS = ["Date_of_signal", "Cusum_Statistic", "Level_of_Signal", "Reset_Flag", "Events_Desc", "Level1_6months",
+CHART_COLS = ["Date_of_signal", "Cusum_Statistic", "Level_of_Signal", "Reset_Flag", "Events_Desc", "Level1_6months",
              "Level2_6months", "Level1_12months", "Level2_12months", "Line_Type", "Line_Part"]
 
 
-def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider: DataFrame) -> DataFrame:
+def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider: DataFrame, extra: list[str] = ()) -> DataFrame:
     """L17-L19 in one shuffle: daily line, site names and chart rows of the same day; the excess is
     blanked on level-2 threshold rows. A day may carry several chart rows.
 
@@ -97,11 +97,15 @@ def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider
     * a day row followed by a chart row of the same date is replaced by those
       chart rows (``lead``), so a day appears once per chart row, or once alone.
 
+    ``extra`` names further columns of the chart rows to carry along (the notification
+    columns; a day without a chart row is not notified).
+
     The three windows share partitioning and ordering, so Spark adds no shuffle
     or sort between them. Same rows as the daily line left-joined to the chart rows.
     """
+    line_cols = [*CHART_COLS, *extra]
     line_types = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
-    nulls_line = [F.lit(None).cast(line_types[c]).alias(c) for c in LINE_COLS]
+    nulls_line = [F.lit(None).cast(line_types[c]).alias(c) for c in line_cols]
     days = daily_expand(monthly).select(
         "Site_Code", F.col("Date_VLAD").alias("d"), F.lit(1).alias("_kind"), "denominator", "event_rate",
         "Signal_Flag", F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type"),
@@ -114,14 +118,14 @@ def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider
         "Site_Code", F.col("Date").alias("d"), F.lit(2).alias("_kind"),
         F.lit(None).cast("double").alias("denominator"), F.lit(None).cast("double").alias("event_rate"),
         F.lit(None).cast("int").alias("Signal_Flag"), F.lit(None).cast("long").alias("daily_count"),
-        F.lit(None).cast("string").alias("Event_Type"), *LINE_COLS)
+        F.lit(None).cast("string").alias("Event_Type"), *line_cols)
     order = Window.partitionBy("Site_Code").orderBy("d", "_kind")
     run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kind, d = F.col("_kind"), F.col("d")
     # pass 1: the day's events, and whether chart rows follow on the same date
     ev_here = (F.lag("_kind").over(order) == 0) & (F.lag("d").over(order) == d)
     u = days.unionByName(ev).unionByName(ln).select(
-        "Site_Code", "d", "_kind", "Signal_Flag", *LINE_COLS,
+        "Site_Code", "d", "_kind", "Signal_Flag", *line_cols,
         F.when(kind == 1, F.coalesce(F.when(ev_here, F.lag("daily_count").over(order)),
                                      F.lit(0).cast("long"))).alias("cnt"),
         F.when((kind == 1) & ev_here, F.lag("Event_Type").over(order)).alias("Event_Type"),
@@ -143,15 +147,18 @@ def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider
     out = u.filter(keep).select(
         F.col("d").alias("Date"), "Site_Code",
         F.col("_day.cum").alias("Excess_Events"), F.col("_day.flag").alias("Signal_Flag"),
-        F.col("_day.et").alias("Event_Type"), *LINE_COLS)
+        F.col("_day.et").alias("Event_Type"), *line_cols)
     p = provider.select(F.col("Site_Code").alias("ps_site"), "Site_Name",
                         F.col("Trust_Code").alias("ODS_Code"), F.col("Trust_Name").alias("ODS_Name"))
     j = out.join(p, out.Site_Code == p.ps_site, "left")
     lt = F.col("Line_Type")
     exc = F.when(lt.isNull() | (lt != "Level2_Threshold"), F.col("Excess_Events"))
     cols = ["Date", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Excess_Events", "Signal_Flag", "Event_Type",
-            *LINE_COLS]
-    return j.withColumn("Excess_Events", exc).select(*cols)
+            *line_cols]
+    j = j.withColumn("Excess_Events", exc)
+    if "Email_Trust" in extra:
+        j = j.withColumn("Email_Trust", F.coalesce("Email_Trust", F.lit(0)))
+    return j.select(*cols)
 
 
 def with_site_names(v: DataFrame, provider: DataFrame) -> DataFrame:

@@ -66,11 +66,11 @@ class SignalFlow:
 
     @cached_property
     def grid(self) -> DataFrame:             # L3
-        return grid.site_month_grid(self.monthly, self.annual, self.p.full_month_calendar)
+        return grid.site_month_grid(self.df_for_cusum)
 
     @cached_property
     def df_for_cusum(self) -> DataFrame:     # L4
-        df = grid.attach_reference(self.grid, self.annual, self.rates, self.p.selected_measure)
+        df = grid.month_grid(self.monthly, self.annual, self.rates, self.p.selected_measure, self.p.full_month_calendar)
         return self._keep(df, "month_grid")
 
     @cached_property
@@ -219,7 +219,9 @@ class SignalFlow:
         return workdays.bank_holidays(workdays.years_between(self.compare, "Date_Email", 1))
 
     def notified_plan(self) -> DataFrame:    # L22, L23
-        return register.with_notifications(self.final, self.formatted, self.holidays, self.p.checklist_working_days)
+        """The final table with notification columns; these join the chart rows, a month each, not the daily table."""
+        told = register.with_notifications(self.lines, self.formatted, self.holidays, self.p.checklist_working_days)
+        return vlad.final_table(self.cusum_out, self.daily, told, self.provider, register.NOTIFICATION_COLS)
 
     @cached_property
     def notified(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 from signalwatch.params import SignalParams, SourceParams
@@ -55,3 +57,19 @@ def shared_flows(spark: SparkSession, sf_dir: str):
                        "designed": signal_from_source(src, None, True),
                        "given": signal_from_source(src, None, True, given=True)}
     return _CACHE[key]
+
+
+def forget() -> None:
+    """Drop the shared flows and their written tables."""
+    for flows in _CACHE.values():
+        for flow in flows.values():
+            flow.folder.remove()
+    _CACHE.clear()
+
+
+def signals_from_outputs(spark: SparkSession, sf_dir: str, source_out: str) -> SignalFlow:
+    """The production signal flow on the tables that a source run has written."""
+    events = spark.read.parquet(os.path.join(source_out, "events"))
+    denoms = tb.signal_denominators(spark.read.parquet(os.path.join(source_out, "denoms")))
+    return SignalFlow(events, denoms, tb.reference_rates(events, denoms), tb.provider_sites(spark, sf_dir),
+                      SignalParams(run_date=tb.RUN_DATE))

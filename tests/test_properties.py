@@ -84,12 +84,15 @@ def test_contract(spark):
 
 def test_full_month_calendar_option(spark):
     """With the option, a month without any event still gets grid rows."""
-    from signalwatch.operators.grid import site_month_grid
+    from signalwatch.operators.grid import month_grid
     monthly = spark.createDataFrame([("A", "2025-01", 1), ("A", "2025-03", 2)],
                                     "Site_Code string, year_month string, monthly_count long")
-    annual = spark.createDataFrame([("A", 2024), ("B", 2024)], "Site_Code string, Year int")
-    default = site_month_grid(monthly, annual)
-    full = site_month_grid(monthly, annual, full_calendar=True)
+    annual = spark.createDataFrame([("A", 2024, 9.0, 8.0), ("B", 2024, 7.0, 6.0)],
+                                   "Site_Code string, Year int, Monthly_Term_Births double, Monthly_Term_Live_Births double")
+    rates = spark.createDataFrame([("2022-2024", 0.002)], "Year string, Ref_Rate double")
+    default = month_grid(monthly, annual, rates)
+    full = month_grid(monthly, annual, rates, full_calendar=True)
+    assert {(r.Site_Code, r.denominator) for r in full.collect()} == {("A", 9.0), ("B", 7.0)}
     assert sorted({r.year_month for r in default.collect()}) == ["2025-01", "2025-03"]
     rows = {(r.Site_Code, r.year_month): r.numerator for r in full.collect()}
     assert len(rows) == 6 and rows[("A", "2025-02")] == 0 and rows[("A", "2025-03")] == 2

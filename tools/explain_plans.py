@@ -4,8 +4,9 @@ Usage: python tools/explain_plans.py [sf_dir]
 
 For each stage it counts shuffles (Exchange), broadcasts, join kinds,
 windows, Python stages and subqueries in ``explain("formatted")`` and lists
-the scans' pushed filters and read schemas. Stages after a written table
-start from that table, which is what the counts show.
+the scans' pushed filters. A stage whose result is written is explained when it
+is written, so the counts show its work and not the read-back. Adaptive execution
+is off, so the plans are whole. ``--no-broadcast`` turns broadcast joins off.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from signalwatch.plans.testbed_plan import shared_flows, source_flow  # noqa: E402
-from signalwatch.session import build_session  # noqa: E402
+from signalwatch.session import RunFolder, build_session  # noqa: E402
 
 COUNT = {
     "shuffles": r"\bExchange \(\d+\)",
@@ -50,33 +51,30 @@ def summarize(name: str, df) -> str:
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8)
-    ref = source_flow(spark, sf, fast=False, persist=False)
-    fl = shared_flows(spark, sf)
-    src, sig = fl["src"], fl["designed"]
-    src_lazy = source_flow(spark, sf, fast=True, persist=False)
-    stages = [
-        ("cleaning chain, reference DISTINCTs (J1-J7)", ref.with_trust),
-        ("cleaning chain, composed (J1-J7)", src_lazy.with_trust),
-        ("events extract (J9)", src_lazy.events),
-        ("births per site-month (J10)", src_lazy.births_by_month),
-        ("denominators (J11), from written counts", src.denoms),
-        ("quality gates (K5, K6)", src.gates),
-        ("month grid + denominators + rates (L1-L4)", sig.df_for_cusum),
-        ("threshold design (L6)", sig.threshold_table),
-        ("CUSUM fold (E5)", sig.cusum),
-        ("chart months (L9-L12)", sig.cusum_out),
-        ("line set (L13-L15)", sig.lines),
-        ("daily line (L16-L17)", sig.vlad),
-        ("final table (L18-L19)", sig.final),
-        ("notifications + due dates (L22-L23)", sig.notified),
-        ("register compare (L20-L21)", sig.compare),
-        ("run summary (L26)", sig.summary),
-    ]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    if "--no-broadcast" in sys.argv:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     print("| stage | " + " | ".join(COUNT) + " | pushed filters |")
     print("|---|" + "---|" * (len(COUNT) + 1))
-    for name, df in stages:
+    plain = RunFolder.keep
+
+    def keep(folder, df, name):
+        print(summarize(f"{name} (written)", df), flush=True)
+        return plain(folder, df, name)
+
+    RunFolder.keep = keep
+    print(summarize("cleaning chain with every DISTINCT (J1-J7)", source_flow(spark, sf, fast=False).with_trust))
+    fl = shared_flows(spark, sf)
+    src, sig = fl["src"], fl["designed"]
+    for read in (lambda: src.denoms, lambda: sig.cusum_out, lambda: sig.notified):
+        read()  # writes what it needs
+    for name, df in (("unmapped sites (K1)", src.unmapped), ("new sites (K3)", src.new_sites), ("quality gates (K5, K6)", src.gates),
+                     ("threshold design (L6)", sig.threshold_table), ("daily events (L16)", sig.daily), ("line set (L13-L15)", sig.lines),
+                     ("final table (L17-L19)", sig.final), ("register compare (L20-L21)", sig.compare),
+                     ("run summary (L26)", sig.summary)):
         print(summarize(name, df))
     spark.stop()
 
