@@ -89,7 +89,9 @@ def bounded_sample(rows: DataFrame, label: str, per_label: int, key: str = "doc_
     """About ``per_label`` rows of each value of ``label`` (all, where there are fewer), chosen by a hash of the id.
 
     One count per value goes to the driver; the choice itself is a filter, so it
-    is the same in every run and needs no sort. Labels must be few (classes).
+    is the same in every run and needs no sort. Of rows that repeat id and label one
+    stays, so an id that holds a large share of the rows does not break the bound.
+    Labels must be few (classes).
     """
     rows = rows.filter(F.col(label).isNotNull())
     share = {r[label]: min(1.0, per_label / r["n"]) for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
@@ -97,7 +99,7 @@ def bounded_sample(rows: DataFrame, label: str, per_label: int, key: str = "doc_
         return rows
     at = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in share.items() for x in kv]), F.col(label)), F.lit(0.0))
     place = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    return rows.filter(place < at)
+    return rows.filter(place < at).dropDuplicates([key, label])
 
 
 def class_table():

@@ -166,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learn from the given labels (rows of ``labels`` that may be used) and the texts of ``docs``."""
     picked = bounded_sample(labels.select(labels[key].cast("long").alias("doc_id"), labels[label].cast("int").alias("y"))
                             .filter("y in (0, 1)"), "y", per_class)
-    rows = two_columns(docs, key, text).join(F.broadcast(picked), "doc_id").select("text", "y")  # 2 x per_class rows
+    rows = two_columns(docs, key, text).join(F.broadcast(picked), "doc_id")  # 2 x per_class rows
+    rows = rows.dropDuplicates(["doc_id", "y"]).select("text", "y")
 
     def run(batches):
         for b in batches:
