@@ -217,8 +217,8 @@ def chunks(docs: DataFrame, train: Column, key: str, text: str, chunk_chars: int
 
 def piece_scores(words: DataFrame, vocabulary: str, rounds: int) -> np.ndarray:
     """Log probabilities of the pieces, fitted by ``rounds`` of expected counts over all distinct training words."""
-    size = Vocabulary(vocabulary).size
-    scores = Vocabulary(vocabulary).start
+    start = Vocabulary(vocabulary)
+    size, scores = start.size, start.start
     known = words.filter("c > 0").select("word")
 
     def count_with(given):
