@@ -1,10 +1,11 @@
 """Jaccard join on word n-grams by chosen paths.
 
 Every document is the set of its five-word shingles. A run splits the documents
-recursively: a set goes down one branch for each of its tokens that the level's
-sampling hash picks (about ``branches`` of a set's tokens, so two similar sets
-share a picked token with known probability); a branch with few sets is compared
-by brute force, a larger one is split again by the next level's tokens. Runs with
+recursively: a set goes down one branch for each of its tokens that the first
+level's sampling hash picks (about ``branches`` of a set's tokens, so two similar
+sets share a picked token with known probability); a branch with few sets is compared
+by brute force, a larger one is split again by the token that the next level's hash
+puts first (one, so that a large group of near copies does not fan out). Runs with
 other hashes repeat until a pair at the threshold is met with probability
 ``recall``. Nothing is capped: branches still large at the last level are compared
 in blocks against blocks.
@@ -41,12 +42,12 @@ from pyspark.sql import functions as F
 from signalwatch.llm.common import worker_cache
 from signalwatch.llm.links import Store, components, grouped, groups_of
 
-#: Tokens that a set picks on each level, on average, and levels of a run.
+#: Tokens that a set picks on the first level, on average, and levels of a run.
 BRANCHES, LEVELS = 3.0, 3
 #: Classes in a branch that are compared at once; a larger one is split again.
 SMALL = 2048
 #: Shingles that a group of exact sets may hold; a larger one is compared in blocks.
-GROUP_SHINGLES = 2_000_000
+GROUP_SHINGLES = 1_000_000
 BINS = 128
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -55,7 +56,7 @@ class WordHash(dict):
     """Word -> 64-bit hash; starts anew when large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -95,16 +96,17 @@ def set_hash(s: np.ndarray) -> int:
 
 
 def picked(s: np.ndarray, runs: int, branches: float = BRANCHES, levels: int = LEVELS) -> list[list[list[int]]]:
-    """For each run and level, the tokens of the set whose sampling hash is small."""
+    """For each run, the tokens of the set whose first-level hash is small, then the token of least hash on each level."""
     rng = np.random.default_rng(20_240_607)
     out = []
     most = 2.0 ** 64 * branches / len(s)
     limit = np.uint64(min(most, 2.0 ** 64 - 2049))
     for _ in range(runs):
         run = []
-        for _ in range(levels):
+        for level in range(levels):
             a, m = rng.integers(0, 1 << 63, 2, dtype=np.uint64)
-            hit = s if most >= 2.0 ** 64 else s[((s ^ a) * (m | np.uint64(1))) <= limit]
+            h = (s ^ a) * (m | np.uint64(1))
+            hit = s[h.argmin():][:1] if level else s if most >= 2.0 ** 64 else s[h <= limit]
             run.append(hit.astype(np.int64).tolist())
         out.append(run)
     return out
@@ -114,29 +116,32 @@ def runs_needed(threshold: float, recall: float, branches: float = BRANCHES, lev
     """Runs until a pair at the threshold shares a path with probability ``recall``.
 
     The worse of two such pairs (equal sizes, or one inside the other) shares a Poisson
-    number of picked tokens on a level; a run finds it for sure if it shares one on
-    every level. Most pairs meet in a branch that is small before the last level.
+    number of tokens picked on the first level, and the token of least hash with the
+    pair's similarity; a run finds it for sure if it shares one on every level. Most
+    pairs meet in a branch that is small before the last level.
     """
     mean = branches * min(2 * threshold / (1 + threshold), threshold)
-    found = (1 - math.exp(-mean)) ** levels
+    found = (1 - math.exp(-mean)) * threshold ** (levels - 1)
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
 
 
 def close_in_sketch(sk: np.ndarray, n: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs may reach the threshold: sizes allow it and the sketches agree within four standard deviations."""
     m = len(n)
-    full = sk > 0
-    if m <= 48:
-        same = ((sk[:, None] == sk[None]) & full[:, None]).sum(2)
-        either = (full[:, None] | full[None]).sum(2)
-    else:  # bin by bin, to hold no more than a few matrices
-        same, either = np.zeros((m, m), np.int16), np.zeros((m, m), np.int16)
-        for b in range(BINS):
-            same += (sk[:, b, None] == sk[None, :, b]) & full[:, b, None]
-            either += full[:, b, None] | full[None, :, b]
-    least = threshold - 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(either, 1))
-    ok = same >= least * either
-    ok &= np.minimum(n[:, None], n[None]) >= threshold * np.maximum(n[:, None], n[None]) - 1e-9
+    full, ok = sk > 0, np.zeros((m, m), bool)
+    for lo in range(0, m, 128):  # rows against all, to hold no more than a few slim matrices
+        a, f, size = sk[lo:lo + 128], full[lo:lo + 128], n[lo:lo + 128, None]
+        if m <= 48:
+            same = ((a[:, None] == sk[None]) & f[:, None]).sum(2)
+            either = (f[:, None] | full[None]).sum(2)
+        else:
+            same, either = np.zeros((len(a), m), np.int16), np.zeros((len(a), m), np.int16)
+            for b in range(BINS):
+                same += (a[:, b, None] == sk[None, :, b]) & f[:, b, None]
+                either += f[:, b, None] | full[None, :, b]
+        least = threshold - 4 * np.sqrt(threshold * (1 - threshold) / np.maximum(either, 1))
+        sizes_allow = np.minimum(size, n[None]) >= threshold * np.maximum(size, n[None]) - 1e-9
+        ok[lo:lo + 128] = (same >= least * either) & sizes_allow
     np.fill_diagonal(ok, False)
     return ok
 
@@ -342,7 +347,7 @@ def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float
     groups = store.keep(sketch_groups(branches_of(store, classes), classes, threshold), "groups")
     sets = store.keep(exact_sets(docs, groups, classes, width, key, text), "sets")
     roots = store.keep(components(store, spanning_links(groups, sets, threshold)), "roots")
-    links = link_counts(sets, roots, threshold)
+    links = store.keep(link_counts(sets, roots, threshold), "links")
     of_class = (found.join(roots, found["class"] == roots["node"], "left").join(links, "class", "left")
                 .select("h1", "h2", "n", "class", F.coalesce("root", "class").alias("component_id"),
                         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))

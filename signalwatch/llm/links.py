@@ -19,7 +19,14 @@ class Store:
         self.spark, self.base = spark, os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.base}/{name}")
+        """Write a table and read it back; Arrow batches are small meanwhile, as rows may hold whole sets."""
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "500")
+        try:
+            df.write.parquet(f"{self.base}/{name}")
+        finally:
+            self.spark.conf.set(setting, before)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:

@@ -281,7 +281,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
     index = store.keep(index_rows(classes, indexes), "index")
     groups = store.keep(passing_groups(index, indexes), "groups")
     roots = store.keep(components(store, spanning_links(groups, classes, threshold)), "roots")
-    links = link_counts(classes, roots, threshold)
+    links = store.keep(link_counts(classes, roots, threshold), "links")
     of_class = (classes.join(roots, classes["class"] == roots["node"], "left").join(links, "class", "left")
                 .select("size", "item", "class", F.coalesce("root", "class").alias("component_id"),
                         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
