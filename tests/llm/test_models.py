@@ -1,6 +1,7 @@
 """Language model, language ID, toxicity, quality and compression rules against brute force and held-out rows."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -250,3 +251,35 @@ def test_bands_reject_repetition_and_noise_and_keep_prose(spark):
     judge = lambda data: compression_rules.band_verdict(data, compress)[2]
     assert judge(prose[:5000]) and not judge(noise) and not judge(same) and judge(b"")
     assert not judge(prose[:9000] + noise[:8000])  # the whole lies in its band, too many chunks do not
+
+
+def test_bands_are_the_fences_of_the_corpus_and_act_on_it(spark):
+    """The limits come from one aggregate; documents that pass the base rule are rejected, none labelled good."""
+    docs, labels = (read(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    assert compression_rules.fences(docs) == compression_rules.BANDS
+    rejected = compression_rules.apply_rules(docs).filter("not base_failed and not kept")
+    found = Counter(r.quality for r in rejected.join(labels, "doc_id", "left").collect())
+    assert found[0] >= 80 and found[1] == 0 and sum(found.values()) >= 180
+
+
+def test_bands_reject_junk_of_every_length(spark):
+    """Noise, mixed and partly repeated text; hex below 4 KB and digits below 16 KB have the ratios of prose and stay."""
+    compress = zstandard.ZstdCompressor(level=3).compress
+    rng = random.Random(2)
+    judge = lambda data: compression_rules.band_verdict(data, compress)[2]
+
+    def words(signs, n):
+        out = ""
+        while len(out) < n:
+            out += "".join(rng.choice(signs) for _ in range(rng.randrange(3, 9))) + " "
+        return out[:n].encode()
+    text = " ".join(t.text for t in read(spark, SF, "documents").filter("lang = 'en'").orderBy("doc_id").limit(60).collect()).encode()
+    hexes, digits, printable = "0123456789abcdef", "0123456789", "".join(map(chr, range(33, 127)))
+    for n in (700, 3000, 12_000, 40_000):
+        prose = text[:n]
+        assert len(prose) == n
+        assert not judge(words(printable, n)), n
+        assert not judge(prose[:n // 3] + words(printable, 2 * n // 3)), n  # mixed noise
+        assert not judge(prose[:n // 2] + prose[:n // 4] * 2), n  # partly repeated
+        assert judge(words(hexes, n)) == (n < 4096), n
+        assert judge(words(digits, n)) == (n < 16_384), n
