@@ -12,7 +12,8 @@ in blocks against blocks.
 
 1. One pass over the texts makes, for each document, the picked tokens of all runs
    and levels, a short sketch (the least hash of each of 128 bins) and a 128-bit
-   hash of its set. Documents with equal sets are one class from here on.
+   hash of its set. Documents with equal sets are one class from here on, which goes
+   by a number of its own; ids come back with the result.
 2. Branch keys are counted with map-side combine; only keys with two classes or
    more go on. In a branch the sketches sort out pairs that are far apart (four
    standard deviations below the threshold); what remains is a few small groups.
@@ -24,8 +25,9 @@ in blocks against blocks.
 
 Defined cases: a text with fewer than five words is one shingle, its words; a text
 without words and a row with a null id link with nothing; equal texts are one class
-and link with each other; every row of the input gives one row; other columns are
-ignored. Ties on ids go to the smallest.
+and link with each other; an id may hold several texts, each of which is compared on
+its own; every row of the input gives one row; other columns are ignored. Ties on ids
+go to the smallest.
 """
 
 from __future__ import annotations
@@ -257,9 +259,9 @@ def sketch_groups(branches: DataFrame, classes: DataFrame, threshold: float) ->
 
 def exact_sets(docs: DataFrame, groups: DataFrame, classes: DataFrame, width: int, key: str, text: str) -> DataFrame:
     """class, copies and exact set of every class in a group; the only step that moves texts."""
-    want = groups.select("class").distinct().join(classes.select("class", "h1", "copies"), "class")
-    rows = docs.select(docs[key].cast("long").alias("class"), docs[text].alias("text")).filter("text is not null")
-    rows = rows.join(want, "class").select("class", "copies", "h1", "text")
+    want = groups.select("class").distinct().join(classes.select("class", "least", "text_hash", "h1", "copies"), "class")
+    rows = docs.select(docs[key].cast("long").alias("least"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("text_hash"))
+    rows = rows.filter("text is not null").join(want, ["least", "text_hash"]).select("class", "copies", "h1", "text")
 
     def run(batches):
         for b in batches:
@@ -267,7 +269,7 @@ def exact_sets(docs: DataFrame, groups: DataFrame, classes: DataFrame, width: in
                 part, out = b.slice(lo, 200), []
                 for c, n, h, t in zip(*(part.column(k).to_pylist() for k in range(4))):
                     s = shingles(t, width)
-                    if len(s) and set_hash(s) == h:  # an id that repeats with another text is not this class
+                    if len(s) and set_hash(s) == h:  # another text of the same id and hash is not this class
                         out.append((c, n, s.tobytes()))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))],
@@ -329,42 +331,55 @@ def link_counts(sets: DataFrame, roots: DataFrame, threshold: float) -> DataFram
     return rows.mapInArrow(run, "class long, links long").groupBy("class").agg(F.sum("links").alias("links"))
 
 
-def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.999, key: str = "doc_id",
-         text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (least id with an equal set), component_id (least id reachable
-    by links), n_links (other documents linked directly) and kept (doc_id = component_id; always for unlinked rows);
-    text_hash tells rows of a repeated id apart."""
+def joined(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.999, key: str = "doc_id",
+           text: str = "text") -> DataFrame:
+    """The rows of ``join`` and, as ``first``, whether a row is the one of its component to keep: unlinked, or of the least
+    id and, where that id has several texts in the component, of the least text hash."""
     store = Store(docs.sparkSession, "chosen-path")
     runs = runs_needed(threshold, recall)
     sig = store.keep(signatures(docs, runs, width, key, text), "signatures")
     real = sig.filter("n > 0")
-    found = real.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("class"), F.count("*").alias("copies"))
-    found = store.keep(found, "classes")
-    same = [F.col("doc_id") == F.col("class"), *(F.col(f"r.{c}") == F.col(f"c.{c}") for c in ("h1", "h2", "n"))]
-    classes = (real.alias("r").join(found.alias("c"), same).select("class", "r.n", "r.h1", "copies", "sketch", "paths")
-               .dropDuplicates(["class"]))
+    found = real.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"), F.count("*").alias("copies"))
+    found = found.select("h1", "h2", "n", F.col("f.doc_id").alias("least"), F.col("f.text_hash").alias("text_hash"), "copies",
+                         F.monotonically_increasing_id().alias("class"))
+    found = store.keep(found, "classes")  # written, so the number of a class stays
+    same = [F.col("doc_id") == F.col("least"), *(F.col(f"r.{c}") == F.col(f"c.{c}") for c in ("text_hash", "h1", "h2", "n"))]
+    classes = (real.alias("r").join(found.alias("c"), same)
+               .select("class", "least", "c.text_hash", "r.n", "r.h1", "copies", "sketch", "paths").dropDuplicates(["class"]))
     classes = store.keep(classes, "representatives")
     groups = store.keep(sketch_groups(branches_of(store, classes), classes, threshold), "groups")
     sets = store.keep(exact_sets(docs, groups, classes, width, key, text), "sets")
     roots = store.keep(components(store, spanning_links(groups, sets, threshold)), "roots")
     links = store.keep(link_counts(sets, roots, threshold), "links")
-    of_class = (found.join(roots, found["class"] == roots["node"], "left").join(links, "class", "left")
-                .select("h1", "h2", "n", "class", F.coalesce("root", "class").alias("component_id"),
+    in_root = (found.join(roots, found["class"] == roots["node"]).groupBy("root")
+               .agg(F.min(F.struct("least", "text_hash")).alias("first_of")))
+    of_class = (found.join(roots, found["class"] == roots["node"], "left").join(in_root, "root", "left").join(links, "class", "left")
+                .select("h1", "h2", "n", "least", F.coalesce("first_of.least", "least").alias("component_id"),
+                        F.coalesce("first_of.text_hash", "text_hash").alias("first_hash"),
                         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     out = sig.select("doc_id", "text_hash", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"], "left")
-    return out.select("doc_id", "text_hash", F.coalesce("class", "doc_id").alias("class_id"),
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return out.select("doc_id", "text_hash", F.coalesce("least", "doc_id").alias("class_id"),
                       F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+                      kept.alias("kept"), (kept & F.coalesce(F.col("text_hash") == F.col("first_hash"), F.lit(True))).alias("first"))
+
+
+def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.999, key: str = "doc_id",
+         text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id (least id with an equal set), component_id (least id reachable
+    by links), n_links (other documents linked directly) and kept (doc_id = component_id; always for unlinked rows);
+    text_hash tells rows of a repeated id apart."""
+    return joined(docs, threshold, width, recall, key, text).drop("first")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, without all but the first (least id) of each group of linked documents.
 
-    Of rows that repeat both id and text one stays; rows with a null id all stay.
+    Of several linked texts of that id, and of rows that repeat both id and text, one stays; rows with a null id all stay.
     """
-    found = join(docs, key=key, text=text, **options)
+    found = joined(docs, key=key, text=text, **options)
     at, text_hash, nth = (f"_{uuid.uuid4().hex}" for _ in range(3))  # no column of the table has these names
-    gone = found.filter("not kept").select(F.col("doc_id").alias(at), F.col("text_hash").alias(text_hash)).distinct()
+    gone = found.filter("not first").select(F.col("doc_id").alias(at), F.col("text_hash").alias(text_hash)).distinct()
     named = docs.filter(docs[key].isNotNull())
     named = named.withColumns({at: named[key].cast("long"), text_hash: F.xxhash64(named[text])})
     named = named.join(gone, [at, text_hash], "left_anti")

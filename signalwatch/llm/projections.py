@@ -17,8 +17,10 @@ links as one number for each class and block: no step emits all pairs of a group
 
 Defined cases: a vector that is null, empty, zero, or holds a null or non-finite
 component links with nothing, nor do vectors of different lengths; equal vectors
-link with each other, also rows that repeat an id; rows with a null id link with
-nothing; other columns are ignored.
+link with each other, also rows that repeat an id; an id may hold several vectors,
+each of which is compared on its own; rows with a null id link with nothing; other
+columns are ignored. Inside, a class of equal vectors goes by a number of its own;
+ids come back with the result.
 """
 
 from __future__ import annotations
@@ -126,23 +128,21 @@ def unit_rows(items: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def valid_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """vec_id, size and the bytes of the vector in double precision, for rows that may link."""
+def vector_rows(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+    """vec_id, size and the bytes of the vector in double precision of every row; no bytes where it may not link."""
     rows = vectors.select(vectors[key].cast("long").alias("vec_id"), vectors[vector].cast("array<double>").alias("v"))
-    rows = rows.filter("vec_id is not null and size(v) > 0")
 
     def run(batches):
         for b in batches:
             ids, sizes, items = [], [], []
             for i, v in zip(b.column(0).to_pylist(), b.column(1)):
-                x = np.array(v.as_py(), object)
-                if any(c is None for c in x):
-                    continue
-                x = x.astype(np.float64) + 0.0  # -0 becomes 0
-                if np.isfinite(x).all() and x.any():
-                    ids.append(i)
-                    sizes.append(len(x))
-                    items.append(x.tobytes())
+                x = np.array([] if i is None else v.as_py() or [], object)
+                known = not any(c is None for c in x)
+                x = x.astype(np.float64) + 0.0 if known else x  # -0 becomes 0
+                known = known and np.isfinite(x).all() and x.any()
+                ids.append(i)
+                sizes.append(len(x) if known else None)
+                items.append(x.tobytes() if known else None)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(items, pa.binary())],
                                              ["vec_id", "size", "item"])
 
@@ -154,9 +154,9 @@ def fit_indexes(classes: DataFrame, threshold: float, recall: float) -> dict[int
     out = {}
     for r in classes.groupBy("size").agg(F.count("*").alias("n")).collect():  # a row for each length
         share = min(1.0, SAMPLE / r["n"])
-        place = F.pmod(F.xxhash64("class", F.lit(13)), F.lit(1 << 30)) / float(1 << 30)
-        rows = classes.filter((F.col("size") == r["size"]) & (place <= share)).select("class", "item").limit(2 * SAMPLE).collect()
-        rows.sort(key=lambda x: x["class"])
+        place = F.pmod(F.xxhash64("item", F.lit(13)), F.lit(1 << 30)) / float(1 << 30)
+        rows = classes.filter((F.col("size") == r["size"]) & (place <= share)).select("item").limit(2 * SAMPLE).collect()
+        rows.sort(key=lambda x: bytes(x["item"]))
         sample = unit_rows([bytes(x["item"]) for x in rows]) if rows else np.eye(1, r["size"])
         out[r["size"]] = Index(sample, r["n"], threshold, recall)
     return out
@@ -274,20 +274,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
                     vector: str = "embedding") -> DataFrame:
     """One row per row of ``vectors``: vec_id, class_id (least id of an equal vector), n_links, component_id, kept."""
     store = Store(vectors.sparkSession, "projections")
-    valid = store.keep(valid_vectors(vectors, key, vector), "valid")
-    classes = store.keep(valid.groupBy("size", "item").agg(F.min("vec_id").alias("class"), F.count("*").alias("copies"))
-                         .dropDuplicates(["class"]), "classes")
+    rows = store.keep(vector_rows(vectors, key, vector), "rows")
+    valid = rows.filter("item is not null")
+    classes = valid.groupBy("size", "item").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    classes = store.keep(classes.withColumn("class", F.monotonically_increasing_id()), "classes")  # written, so the number stays
     indexes = fit_indexes(classes, threshold, recall)
     index = store.keep(index_rows(classes, indexes), "index")
     groups = store.keep(passing_groups(index, indexes), "groups")
     roots = store.keep(components(store, spanning_links(groups, classes, threshold)), "roots")
     links = store.keep(link_counts(classes, roots, threshold), "links")
-    of_class = (classes.join(roots, classes["class"] == roots["node"], "left").join(links, "class", "left")
-                .select("size", "item", "class", F.coalesce("root", "class").alias("component_id"),
+    in_root = classes.join(roots, classes["class"] == roots["node"]).groupBy("root").agg(F.min("least").alias("first"))
+    of_class = (classes.join(roots, classes["class"] == roots["node"], "left").join(in_root, "root", "left")
+                .join(links, "class", "left")
+                .select("size", "item", "least", F.coalesce("first", "least").alias("component_id"),
                         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    found = valid.join(of_class, ["size", "item"]).select("vec_id", "class", "component_id", "n_links")
-    rest = vectors.select(vectors[key].cast("long").alias("vec_id")).join(found.select("vec_id").distinct(), "vec_id", "left_anti")
-    rest = rest.select("vec_id", F.col("vec_id").alias("class"), F.col("vec_id").alias("component_id"),
-                       F.lit(0).cast("long").alias("n_links"))
-    return found.unionByName(rest).select("vec_id", F.col("class").alias("class_id"), "n_links", "component_id",
-                                          F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    found = valid.join(of_class, ["size", "item"]).select("vec_id", F.col("least").alias("class_id"), "n_links", "component_id")
+    rest = rows.filter("item is null").select("vec_id", F.col("vec_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+                                              F.col("vec_id").alias("component_id"))
+    return found.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

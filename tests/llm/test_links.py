@@ -162,6 +162,34 @@ def test_vectors_of_the_given_table(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute_vectors(rows)
 
 
+def test_vectors_of_repeated_ids(spark):
+    """An id with near, unique, equal and invalid vectors: one row per row, each vector compared on its own."""
+    rng = np.random.default_rng(4)
+    a, b, c, d = (rng.standard_normal(16) for _ in range(4))
+    near = lambda x: (x + 0.01 * rng.standard_normal(16)).tolist()
+    rows = [(5, a.tolist()), (5, b.tolist()), (5, c.tolist()), (5, None), (5, [0.0] * 16), (5, c.tolist()), (3, near(a)),
+            (9, near(b)), (7, c.tolist()), (8, d.tolist()), (8, None), (6, near(c))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r.vec_id, r.class_id, r.n_links, r.component_id) for r in projections.near_duplicates(table).collect())
+    assert got == sorted([(5, 5, 1, 3), (5, 5, 1, 5), (5, 5, 3, 5), (5, 5, 0, 5), (5, 5, 0, 5), (5, 5, 3, 5), (3, 3, 1, 3), (9, 9, 1, 5),
+                          (7, 5, 3, 5), (8, 8, 0, 8), (8, 8, 0, 8), (6, 6, 3, 5)])
+
+
+def test_join_of_repeated_ids(spark):
+    """Texts of one id: near copies of other ids' and of each other, unique, empty; each is compared on its own."""
+    rng = random.Random(6)
+    a, b, c, d, e = (" ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(80)) for _ in range(5))
+    rows = [(5, a), (5, b), (5, c), (5, None), (5, ""), (5, d), (5, d + " end"), (3, a + " more"), (9, b + " more"), (7, c), (4, e), (5, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id, r.class_id, r.n_links, r.component_id) for r in chosen_path.join(docs, recall=0.99999).collect())
+    assert got == sorted([(5, 5, 1, 3), (5, 5, 1, 5), (5, 5, 1, 5), (5, 5, 0, 5), (5, 5, 0, 5), (5, 5, 2, 5), (5, 5, 2, 5), (5, 5, 2, 5),
+                          (3, 3, 1, 3), (9, 9, 1, 5), (7, 5, 1, 5), (4, 4, 0, 4)])
+    kept = [(r.doc_id, r.text) for r in chosen_path.keep_first(docs, recall=0.99999).collect()]
+    assert sum(i == 5 and (t or "").startswith(d) for i, t in kept) == 1  # one of the linked texts of an id
+    rest = [x for x in kept if not (x[1] or "").startswith(d)]
+    assert sorted(rest, key=str) == sorted([(5, b), (5, c), (5, None), (5, ""), (3, a + " more"), (4, e)], key=str)
+
+
 def test_least_count_is_calibrated():
     rng = np.random.default_rng(0)
     least = projections.least_count(64, 0.866, 0.99)
