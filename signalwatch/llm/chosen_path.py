@@ -48,7 +48,7 @@ from signalwatch.llm.links import Store, components, grouped, groups_of
 BRANCHES, LEVELS = 3.0, 3
 #: Classes in a branch that are compared at once; a larger one is split again.
 SMALL = 2048
-#: Shingles that a group of exact sets may hold; a larger one is compared in blocks.
+#: Shingles that a group of exact sets may hold (and SMALL classes); a larger one is compared in blocks.
 GROUP_SHINGLES = 1_000_000
 BINS = 128
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -303,9 +303,10 @@ def spanning_links(groups: DataFrame, sets: DataFrame, threshold: float) -> Data
 def link_counts(sets: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """(class, links): documents of other classes linked directly with each class, within its component."""
     rows = roots.join(sets, roots["node"] == sets["class"]).select("root", "class", "copies", "items")
-    size = rows.groupBy("root").agg(F.sum(F.length("items") / 8).alias("size"))
-    parts = F.ceil(F.col("size") / (GROUP_SHINGLES // 2)).cast("int")
-    rows = rows.join(size, "root").withColumn("parts", F.when(F.col("size") <= GROUP_SHINGLES, F.lit(1)).otherwise(parts))
+    size = rows.groupBy("root").agg(F.sum(F.length("items") / 8).alias("size"), F.count("*").alias("in_root"))
+    fits = (F.col("size") <= GROUP_SHINGLES) & (F.col("in_root") <= SMALL)  # the matrices of a task grow with its classes
+    parts = F.greatest(F.ceil(F.col("size") / (GROUP_SHINGLES // 2)), F.ceil(F.col("in_root") / (SMALL // 2))).cast("int")
+    rows = rows.join(size, "root").withColumn("parts", F.when(fits, F.lit(1)).otherwise(parts))
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("class", F.lit(5)), "parts").cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select(F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"),

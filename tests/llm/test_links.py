@@ -89,6 +89,22 @@ def test_join_on_odd_rows(spark, odd, nothing):
     assert chosen_path.join(nothing).count() == 0 and chosen_path.keep_first(nothing).count() == 0
 
 
+def test_links_of_many_short_near_copies_stay_in_small_tasks(spark, monkeypatch):
+    """One component of few shingles and many classes: no task compares more than two blocks of classes."""
+    whole = chosen_path.linked
+
+    def bounded(sets, threshold):
+        assert len(sets) <= 160, len(sets)
+        return whole(sets, threshold)
+    monkeypatch.setattr(chosen_path, "SMALL", 64)
+    monkeypatch.setattr(chosen_path, "linked", bounded)
+    texts = [f"this is a notice of twelve words that ends in another number {k}" for k in range(400)]
+    sets = [(k, 1 + k % 2, bytearray(chosen_path.shingles(t).tobytes())) for k, t in enumerate(texts)]
+    found = chosen_path.link_counts(spark.createDataFrame(sets, "class long, copies long, items binary"),
+                                    spark.createDataFrame([(k, 0) for k in range(400)], "node long, root long"), 0.7)
+    assert {r["class"]: r.links for r in found.collect()} == {k: 600 - 1 - k % 2 for k in range(400)}
+
+
 def test_runs_reach_the_recall():
     """Measured: pairs at the threshold that share a full path in some run."""
     rng, met, pairs = np.random.default_rng(3), 0, 400
