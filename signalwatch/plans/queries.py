@@ -66,6 +66,12 @@ def q_clean_births(spark, d):
     return clean.clean_births(_ref_src(spark, d).raw, START_DATE)
 
 
+@query("clean_births_all")
+def q_clean_births_all(spark, d):
+    """J1 over all births, without a start date."""
+    return clean.clean_births(_ref_src(spark, d).raw)
+
+
 @query("outcome_class")
 def q_outcome_class(spark, d):
     return _ref_src(spark, d).classified

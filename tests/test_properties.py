@@ -136,3 +136,12 @@ def test_id_parts_with_dash_in_site_code(spark):
     new = old.limit(0).drop("Date_Email")
     r = register_dropped(old, new).first()
     assert (r.Site_Code, r.Date_of_signal, r.Level_of_Signal_Old) == ("AB-1", "May 2025", "2")
+
+
+def test_births_are_cleaned_whole_and_from_a_date(spark):
+    """One registered query over all births, one with the start date."""
+    import __spark_entry__ as E
+    sf, q = "/root/testdata/sf0.001", E.queries()
+    everything, later = q["clean_births_all"](spark, sf), q["clean_births"](spark, sf)
+    early = everything.filter("date_of_birth < '1996-01-01'").count()
+    assert early > 0 and everything.count() == early + later.count() and "clean_births_all" in E.oracle_sql()
