@@ -425,9 +425,9 @@ def q_parquet_final(spark, d):
 
 @query("csv_register")
 def q_csv_register(spark, d):
-    """The register compare as one CSV file and back."""
+    """The register compare as CSV parts, from its own partitions, and back."""
     path = _folder(spark)
-    write_csv(_sig(spark, d).compare, path, single_file=True)
+    write_csv(_sig(spark, d).compare, path)
     return read_text(spark, path).withColumns({"Email_Trust": F.col("Email_Trust").cast("int"), "Date_Email": parse_date_any("Date_Email")})
 
 

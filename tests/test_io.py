@@ -60,3 +60,18 @@ def test_register_history_round_trip(spark):
     assert [r.ID for r in before.collect()] == ["S1-May 2025-1"]
     later = read_register(spark, base, dt.date(2025, 7, 8))
     assert sorted(r.ID for r in later.collect()) == ["S1-May 2025-1", "S2-June 2025-2"]
+
+
+def test_register_csv_is_not_funnelled_through_one_task(spark, monkeypatch):
+    from signalwatch.plans import queries
+    from signalwatch.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    asked, whole = [], queries.write_csv
+
+    def spied(df, path, single_file=False):
+        asked.append(single_file)
+        whole(df.repartition(3), path, single_file)
+    monkeypatch.setattr(queries, "write_csv", spied)
+    back = queries.queries()["csv_register"](spark, "/root/testdata/sf0.001")
+    assert asked == [False]
+    assert back.count() == queries.queries()["register_compare"](spark, "/root/testdata/sf0.001").count() > 0
