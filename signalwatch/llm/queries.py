@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.llm import (
-    bpe, chosen_path, compression_rules, ecoc_lang, lattice_lm, packing, projections, quality_gam, token_count, toxicity,
+    bpe, chosen_path, compression_rules, ecoc_lang, lattice_lm, merkle, packing, projections, quality_gam, token_count, toxicity,
 )
 from signalwatch.llm.common import bucket, read
 
@@ -73,9 +73,21 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.join(read(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; a third of the ids is tampered with and verified."""
+    docs = read(spark, sf_dir, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.col("doc_id").isNotNull() & (bucket(3) == 0)
+    changed = F.when(hit, merkle.leaf_hash([lower if c == "text" else F.col(c) for c in merkle.FIELDS]))
+    rows = merkle.manifest(docs, carried={"tampered_leaf": changed})
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("tampered_leaf", "leaf"), F.col("proof")))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.all_siblings(F.col("proof")), 256).alias("proof_sha256"),
+                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_lattice_lm, op2_embedding_near_dup, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
-             op8_compression_bands, op9_packing, op10_ngram_jaccard]
+             op8_compression_bands, op9_packing, op10_ngram_jaccard, op11_merkle_manifest]
     return {f.__name__: f for f in found}
 
 
@@ -115,6 +127,67 @@ SELECT d.doc_id, least(d.doc_id, (SELECT min(l.b) FROM links l WHERE l.a = d.doc
 FROM documents d JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id"""
 
 
+#: The CRC32 of a text of ASCII digits, bit by bit.
+CRC32 = """(SELECT xor(4294967295::UBIGINT, list_reduce(list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT),
+  lambda acc, c: list_reduce(list_transform(range(8), lambda k: 0::UBIGINT),
+    lambda x, k: xor(x >> 1, 3988292384::UBIGINT * (x & 1)), xor(acc, c)), 4294967295::UBIGINT)))"""
+
+#: Levels of all trees from the leaves on, in one recursion over the nodes of each; siblings of every node on the way.
+MERKLE = """
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+  FROM documents),
+h AS MATERIALIZED (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND CRC % 3 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS tampered
+  FROM f),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+         dense_rank() OVER (ORDER BY lang IS NOT NULL, encode(coalesce(lang, ''))) - 1 AS tree FROM h),
+nodes AS (
+  SELECT 0 AS level, tree, pos, leaf AS node, n FROM leaves
+  UNION ALL
+  SELECT any_value(level) + 1, tree, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), any_value((n + 7) // 8)
+  FROM nodes WHERE n > 1 GROUP BY tree, pos // 8),
+kept AS MATERIALIZED (SELECT * FROM nodes),
+subroots AS MATERIALIZED (SELECT tree AS pos, node, count(*) OVER () AS n FROM kept WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, node, n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos)), any_value((n + 7) // 8) FROM tops WHERE n > 1 GROUP BY pos // 8),
+top_nodes AS MATERIALIZED (SELECT * FROM tops),
+place AS (
+  SELECT tree, pos AS leaf_pos, 0 AS level, pos, n FROM leaves
+  UNION ALL SELECT tree, leaf_pos, level + 1, pos // 8, (n + 7) // 8 FROM place WHERE n > 1),
+top_place AS (
+  SELECT pos AS tree, 0 AS level, pos, n FROM subroots
+  UNION ALL SELECT tree, level + 1, pos // 8, (n + 7) // 8 FROM top_place WHERE n > 1),
+low_runs AS (
+  SELECT p.tree, p.leaf_pos, p.level, coalesce(string_agg(k.node, '' ORDER BY k.pos) FILTER (k.pos < p.pos), '') AS l,
+         coalesce(string_agg(k.node, '' ORDER BY k.pos) FILTER (k.pos > p.pos), '') AS r
+  FROM place p JOIN kept k ON k.tree = p.tree AND k.level = p.level AND k.pos // 8 = p.pos // 8 WHERE p.n > 1 GROUP BY ALL),
+high_runs AS (
+  SELECT p.tree, p.level, coalesce(string_agg(k.node, '' ORDER BY k.pos) FILTER (k.pos < p.pos), '') AS l,
+         coalesce(string_agg(k.node, '' ORDER BY k.pos) FILTER (k.pos > p.pos), '') AS r
+  FROM top_place p JOIN top_nodes k ON k.level = p.level AND k.pos // 8 = p.pos // 8 WHERE p.n > 1 GROUP BY ALL),
+runs AS (
+  SELECT tree, leaf_pos, level, l, r FROM low_runs
+  UNION ALL SELECT p.tree, p.pos, 1000 + h.level, h.l, h.r FROM leaves p JOIN high_runs h ON h.tree = p.tree),
+proofs AS (
+  SELECT tree, leaf_pos, list({'l': l, 'r': r} ORDER BY level) AS steps, sha256(string_agg(l || r, '' ORDER BY level)) AS proof_sha256
+  FROM runs GROUP BY tree, leaf_pos),
+done AS (
+  SELECT x.doc_id, x.leaf, s.node AS subroot, (SELECT node FROM top_nodes WHERE n = 1) AS root,
+         coalesce(p.proof_sha256, sha256('')) AS proof_sha256, coalesce(x.tampered, x.leaf) AS start, coalesce(p.steps, []) AS steps
+  FROM leaves x JOIN subroots s ON s.pos = x.tree LEFT JOIN proofs p ON p.tree = x.tree AND p.leaf_pos = x.pos)
+SELECT doc_id, leaf, subroot, root, proof_sha256,
+       list_reduce(list_transform(steps, lambda s: s.l || ' ' || s.r), lambda acc, s: sha256(split_part(s, ' ', 1) || acc || split_part(s, ' ', 2)), start) AS folded_root,
+       folded_root = root AS verified
+FROM done""".replace("CRC %", CRC32.format("doc_id") + " %")
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others rest on models, tokenizers or compression."""
-    return {"op2_embedding_near_dup": NEAR_VECTORS, "op10_ngram_jaccard": NEAR_DOCUMENTS}
+    return {"op2_embedding_near_dup": NEAR_VECTORS, "op10_ngram_jaccard": NEAR_DOCUMENTS, "op11_merkle_manifest": MERKLE}
