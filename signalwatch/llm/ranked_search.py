@@ -109,6 +109,7 @@ def nra(shard: Shard, query: list[tuple[int, int]], k: int, best: list[tuple[int
     if not lists:
         return best, read
     low, met = np.zeros(len(shard.ids), np.int64), np.zeros(len(shard.ids), bool)
+    shown = np.zeros(len(shard.ids), bool)
     at = [a for _, _, a, _ in lists]
     heads = np.array([q * shard.impact[a] for _, q, a, _ in lists], np.int64)
     step = FIRST_READ
@@ -129,9 +130,16 @@ def nra(shard: Shard, query: list[tuple[int, int]], k: int, best: list[tuple[int
         if not new_may and (low[hope] == high[hope]).all():
             found = [(int(low[x]), int(shard.ids[x])) for x in hope.tolist()]
             return sorted([*best, *found], key=lambda x: (-x[0], x[1]))[:k], read
-        for j, (_, q, _, end) in enumerate(lists):  # every list that still has something, as deep as its neighbours
+        for j, (_, q, first, end) in enumerate(lists):
+            if not heads[j] or new_may and 4 * heads[j] < heads.max():  # the highest heads hold the bounds up
+                continue
+            if not new_may:  # only documents met may win: a list that has shown all of these is done with
+                shown[:] = False
+                shown[shard.doc[first:at[j]]] = True
+                if shown[hope].all():
+                    continue
             a, b = at[j], min(at[j] + step, end)
-            if a < b and heads[j] > 0:
+            if a < b:
                 docs = shard.doc[a:b]
                 low[docs] += q * shard.impact[a:b]
                 met[docs] = True
