@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.llm import (
-    bpe, chosen_path, compression_rules, ecoc_lang, lattice_lm, merkle, packing, projections, quality_gam, ranked_search, token_count, toxicity,
+    bpe, chat_tree, chosen_path, compression_rules, ecoc_lang, lattice_lm, merkle, packing, projections, quality_gam, ranked_search,
+    token_count, toxicity,
 )
 from signalwatch.llm.common import bucket, read
 
@@ -90,10 +91,23 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+#: The conversation that the contract adds.
+EXTRA = "\\### Assistant: </turn> ok"
+
+
+def op13_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one with control strings in it, formatted as a prefix tree and read back from it."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(EXTRA).alias("text"))
+    tree = chat_tree.ChatTree(rows.unionByName(extra), public_tokenizers.path("byte_bpe_50k.json"))
+    return chat_tree.for_members(tree, chat_tree.read_back(tree)).drop("leaf")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_lattice_lm, op2_embedding_near_dup, op3_language_id, op4_bpe_round_trip, op5_toxicity, op6_token_counts, op7_quality,
              op8_compression_bands, op9_packing, op10_ngram_jaccard, op11_merkle_manifest,
-             op12_ranked_search]
+             op12_ranked_search, op13_chat_tree]
     return {f.__name__: f for f in found}
 
 
@@ -213,7 +227,22 @@ SELECT item_id, rank::INT AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""
 
 
+#: Digests of the conversations' own rows; the length of a formatted text from that of its escaped parts.
+CHATS = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, CASE t WHEN 0 THEN 'user' ELSE 'assistant' END, '\\### Assistant: </turn> ok' FROM range(2) r(t)),
+longer AS (
+  SELECT *, len(text) - len(replace(text, '\\', '')) + len(regexp_extract_all(text, '<turn>|</turn>|### Assistant:|### User:|### System:|<[|]')) AS more
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(len('<turn>') + len(role) + 1 + len(text) + more + len('</turn>') + 1)::BIGINT AS formatted_chars
+FROM longer GROUP BY conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express; the others rest on models, tokenizers or compression."""
     return {"op2_embedding_near_dup": NEAR_VECTORS, "op10_ngram_jaccard": NEAR_DOCUMENTS, "op11_merkle_manifest": MERKLE,
-            "op12_ranked_search": RANKED}
+            "op12_ranked_search": RANKED, "op13_chat_tree": CHATS}
