@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalwatch.llm.common import worker_cache
-from signalwatch.llm.links import Store, components, grouped, groups_of
+from signalwatch.llm.links import Store, components, grouped, groups_of, join_unique
 
 #: Tokens that a set picks on the first level, on average, and levels of a run.
 BRANCHES, LEVELS = 3.0, 3
@@ -300,13 +300,17 @@ def spanning_links(groups: DataFrame, sets: DataFrame, threshold: float) -> Data
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def link_counts(sets: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+def link_counts(sets: DataFrame, roots: DataFrame, threshold: float, store: Store | None = None) -> DataFrame:
     """(class, links): documents of other classes linked directly with each class, within its component."""
-    rows = roots.join(sets, roots["node"] == sets["class"]).select("root", "class", "copies", "items")
-    size = rows.groupBy("root").agg(F.sum(F.length("items") / 8).alias("size"), F.count("*").alias("in_root"))
+    store = store or Store(sets.sparkSession, "link-counts")
+    narrow = sets.select(F.col("class").alias("node"), (F.length("items") / 8).alias("shingles")).join(roots, "node")
+    narrow = store.keep(narrow, "sizes")
+    size = store.keep(narrow.groupBy("root").agg(F.sum("shingles").alias("size"), F.count("*").alias("in_root")), "roots-sizes")
     fits = (F.col("size") <= GROUP_SHINGLES) & (F.col("in_root") <= SMALL)  # the matrices of a task grow with its classes
     parts = F.greatest(F.ceil(F.col("size") / (GROUP_SHINGLES // 2)), F.ceil(F.col("in_root") / (SMALL // 2))).cast("int")
-    rows = rows.join(size, "root").withColumn("parts", F.when(fits, F.lit(1)).otherwise(parts))
+    dealt = join_unique(narrow.select("node", "root"), size, ["root"], "in_root")  # the payload comes after
+    dealt = dealt.select("root", F.col("node").alias("class"), F.when(fits, F.lit(1)).otherwise(parts).alias("parts"))
+    rows = dealt.join(sets, "class")
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("class", F.lit(5)), "parts").cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.select(F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("task"),
@@ -338,31 +342,35 @@ def joined(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: floa
     id and, where that id has several texts in the component, of the least text hash."""
     store = Store(docs.sparkSession, "chosen-path")
     runs = runs_needed(threshold, recall)
-    sig = store.keep(signatures(docs, runs, width, key, text), "signatures")
-    real = sig.filter("n > 0")
-    found = real.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"), F.count("*").alias("copies"))
-    found = found.select("h1", "h2", "n", F.col("f.doc_id").alias("least"), F.col("f.text_hash").alias("text_hash"), "copies",
-                         F.monotonically_increasing_id().alias("class"))
-    found = store.keep(found, "classes")  # written, so the number of a class stays
-    same = [F.col("doc_id") == F.col("least"), *(F.col(f"r.{c}") == F.col(f"c.{c}") for c in ("text_hash", "h1", "h2", "n"))]
-    classes = (real.alias("r").join(found.alias("c"), same)
-               .select("class", "least", "c.text_hash", "r.n", "r.h1", "copies", "sketch", "paths").dropDuplicates(["class"]))
+    sig = signatures(docs, runs, width, key, text).withColumn("row", F.monotonically_increasing_id())
+    sig = store.keep(sig, "signatures")  # written, so the number of a row stays
+    same = ["h1", "h2", "n"]
+    real = sig.filter("n > 0").select("doc_id", "text_hash", "row", *same)
+    found = real.groupBy(*same).agg(F.min(F.struct("doc_id", "text_hash", "row")).alias("f"), F.count("*").alias("copies"))
+    # a class goes by the number of its least row; only that row's sketch and paths are moved, and once
+    found = store.keep(found.select(*same, F.col("f.doc_id").alias("least"), F.col("f.text_hash").alias("text_hash"), "copies",
+                                    F.col("f.row").alias("class")), "classes")
+    classes = sig.select(F.col("row").alias("class"), "sketch", "paths").join(found.select("class", "n"), "class")
     classes = store.keep(classes, "representatives")
     groups = store.keep(sketch_groups(branches_of(store, classes), classes, threshold), "groups")
-    sets = store.keep(exact_sets(docs, groups, classes, width, key, text), "sets")
+    sets = store.keep(exact_sets(docs, groups, found, width, key, text), "sets")
     roots = store.keep(components(store, spanning_links(groups, sets, threshold)), "roots")
-    links = store.keep(link_counts(sets, roots, threshold), "links")
-    in_root = (found.join(roots, found["class"] == roots["node"]).groupBy("root")
-               .agg(F.min(F.struct("least", "text_hash")).alias("first_of")))
-    of_class = (found.join(roots, found["class"] == roots["node"], "left").join(in_root, "root", "left").join(links, "class", "left")
-                .select("h1", "h2", "n", "least", F.coalesce("first_of.least", "least").alias("component_id"),
+    links = store.keep(link_counts(sets, roots, threshold, store), "links")
+    in_root = store.keep(found.join(roots, found["class"] == roots["node"]).groupBy("root").agg(
+        F.min(F.struct("least", "text_hash")).alias("first_of"), F.count("*").alias("in_root")), "firsts")
+    tied = join_unique(roots, in_root, ["root"], "in_root").select(F.col("node").alias("class"), "first_of")
+    of_class = (found.join(tied, "class", "left").join(links, "class", "left")
+                .select(*same, "copies", "least", F.coalesce("first_of.least", "least").alias("component_id"),
                         F.coalesce("first_of.text_hash", "text_hash").alias("first_hash"),
                         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    out = sig.select("doc_id", "text_hash", "h1", "h2", "n").join(of_class, ["h1", "h2", "n"], "left")
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return out.select("doc_id", "text_hash", F.coalesce("least", "doc_id").alias("class_id"),
-                      F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                      kept.alias("kept"), (kept & F.coalesce(F.col("text_hash") == F.col("first_hash"), F.lit(True))).alias("first"))
+    of_class = store.keep(of_class, "of-class")
+    kept = F.col("doc_id") == F.col("component_id")
+    linked_rows = join_unique(real.drop("row"), of_class, same, "copies").select(
+        "doc_id", "text_hash", F.col("least").alias("class_id"), "component_id", "n_links", kept.alias("kept"),
+        (kept & F.coalesce(F.col("text_hash") == F.col("first_hash"), F.lit(True))).alias("first"))
+    alone = sig.filter("n = 0").select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"),
+                                       F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), F.lit(True).alias("first"))
+    return linked_rows.unionByName(alone)
 
 
 def join(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.999, key: str = "doc_id",

@@ -62,6 +62,20 @@ def grouped(batches, columns: int):
         yield key, rows
 
 
+def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], uses: str) -> DataFrame:
+    """``rows`` joined with ``unique``, which has one row for each key of theirs and, as ``uses``, how many of them have it.
+
+    Keys of more than a thousandth of the rows, a thousand of them at most, are sent to all tasks and their rows
+    stay where they are; no other key has more rows than that in one place. ``unique`` is narrow and a written table.
+    """
+    total = unique.agg(F.coalesce(F.sum(uses), F.lit(0)).alias("n")).first()["n"]
+    often = F.col(uses) * 1000 > total
+    hot = unique.filter(often)
+    many = rows.join(F.broadcast(hot), on)  # fewer than 1,000 rows
+    few = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(unique.filter(~often), on)
+    return many.unionByName(few)
+
+
 def components(store: Store, edges: DataFrame, name: str = "star") -> DataFrame:
     """(node, root): the least node of each component, by alternating large and small stars until nothing moves."""
     now, turn = store.keep(edges.select("a", "b"), f"{name}0"), 0
