@@ -4,7 +4,8 @@ The zstandard ratio (bytes over compressed bytes) of the whole text and of its
 fixed chunks must lie inside the band of their length: above it a text is
 repetitive, below it incompressible (keys, binary data, noise). Short texts
 compress worse, so the bands depend on the length. A text fails when the whole
-lies outside its band or more than ``chunk_share`` of its chunks do. The base
+lies outside its band or more than ``chunk_share`` of its chunks do; the bytes after
+the last full chunk belong to that chunk, as few bytes alone have no ratio to judge. The base
 counts of repeated lines, repeated word windows and signs come with it.
 
 The limits are the fences of the corpus' own ratios (``fences``): the quartiles of
@@ -80,7 +81,8 @@ def band_verdict(data: bytes, compress, chunk: int = CHUNK, chunk_share: float =
     if n <= chunk:
         share = 0.0
     else:
-        parts = [data[k:k + chunk] for k in range(0, n, chunk)]
+        ends = [*range(chunk, n - chunk + 1, chunk), n]  # what is left over belongs to the last full chunk
+        parts = [data[a:b] for a, b in zip([0, *ends], ends)]
         share = sum(not inside(len(p), len(p) / len(compress(p))) for p in parts) / len(parts)
     return ratio, share, inside(n, ratio) and share <= chunk_share
 
