@@ -7,8 +7,15 @@ of the margin is added to the training loss. Terms of one set thus end with near
 one weight, tied to the neutral word of the set, and naming a group neutrally does
 not raise a score.
 
+The sets are those given (``SWAPS``) and those that the corpus itself shows: words of
+the labelled sample that are frequent and about as frequent with either label, and
+that stand between the same words as each other (the cosine of their counted
+neighbours). A corpus without any of the given terms still gets its readings.
+
 Fitting uses a bounded sample (``per_class`` rows of each label); only hashes
-reach the driver, and of those the ``features`` that tell the classes apart best.
+reach the driver, and of those the ``features`` that tell the classes apart best, and the
+counts of at most ``most`` candidate words. The sample is a table in the shared folder,
+so the texts are read once.
 Scoring is one pass over whole texts without a shuffle.
 
 Defined cases: null and empty texts get the score of the bias alone; repeated
@@ -29,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalwatch.llm.common import bounded_sample, rows_of, two_columns
+from signalwatch.session import RunFolder
 
 #: Parameter: sets of terms that may stand for each other; the first word of each names no group.
 SWAPS = (
@@ -74,6 +82,8 @@ class ToxicityModel:
     hashes: np.ndarray
     weights: np.ndarray
     table: dict = field(default_factory=dict)
+    #: Counterfactual readings of the training rows.
+    readings: int = 0
 
     def __post_init__(self):
         self.table = dict(zip(self.hashes.tolist(), self.weights.tolist()))
@@ -83,10 +93,31 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[list[int], list[int]]],
+def readings_of(rows: list[np.ndarray], sets) -> tuple[list[tuple[list[int], list[int]]], np.ndarray]:
+    """The swaps of the terms that hashed rows hold, each once, and how many rows are read with each."""
+    number: dict[int, int] = {}
+    terms = sorted({t for s in sets for t in s})
+    at = {t: number.setdefault(crc32(t.encode()), len(number)) for t in terms}
+    known = np.array(list(number), np.uint32)
+    held = np.zeros((len(rows), len(known)), bool)
+    for k, r in enumerate(rows):
+        held[k] = np.isin(known, r)
+    changes, times = [], []
+    for s in sets:
+        for a in s:
+            for b in s:
+                n = int((held[:, at[a]] & ~held[:, at[b]]).sum()) if a != b else 0
+                if n:
+                    changes.append((word_features(a), word_features(b)))
+                    times.append(n)
+    return changes, np.array(times, float)
+
+
+def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[list[int], list[int]]], times: np.ndarray | None = None,
                features: int = 8192, least: float = 10.0, ratio: float = 4.0, strength: float = 1.0, decay: float = 1e-4, balance: float = 0.75,
                steps: int = 300) -> ToxicityModel:
-    """Fit on hashed rows. ``changes``: what each counterfactual reading takes away and adds; ``strength`` weighs them."""
+    """Fit on hashed rows. ``changes``: what a counterfactual reading takes away and adds, ``times``: of how many rows it is
+    made (one each, if not given); ``strength`` weighs them."""
     n = len(labels)
     if not n or labels.min() == labels.max():
         return ToxicityModel(-500.0, np.array([], np.uint32), np.array([]))
@@ -112,6 +143,7 @@ def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[l
     c_row = np.array([k for k, (a, b) in enumerate(changes) for _ in (*a, *b)], np.int64)
     c_col = np.searchsorted(kept, np.array([h for a, b in changes for h in (*a, *b)], np.uint32))
     c_sign = np.array([s for a, b in changes for s in [-1.0] * len(a) + [1.0] * len(b)])
+    times = np.ones(len(changes)) if times is None else times
     each = np.where(labels > 0, 0.5 * n / labels.sum(), 0.5 * n / (n - labels.sum())) ** balance
     each /= each.mean()
     w, b = np.zeros(len(kept)), 0.0
@@ -121,7 +153,7 @@ def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[l
         g = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels) * each / n
         grad = np.bincount(col, g[row], len(kept)) + decay * w
         if len(changes):
-            change = np.bincount(c_row, c_sign * w[c_col], len(changes))
+            change = times * np.bincount(c_row, c_sign * w[c_col], len(changes))
             grad += strength * 2 / n * np.bincount(c_col, c_sign * change[c_row], len(kept))
         grad = np.append(grad, g.sum())
         m += 0.1 * (grad - m)
@@ -130,32 +162,83 @@ def fit_hashes(rows: list[np.ndarray], labels: np.ndarray, changes: list[tuple[l
         w -= step[:-1]
         b -= step[-1]
     used = np.abs(w) > 1e-3
-    return ToxicityModel(float(b), kept[used], w[used])
+    return ToxicityModel(float(b), kept[used], w[used], readings=int(times.sum()))
+
+
+def exchangeable(rows: DataFrame, most: int = 48, share: float = 0.05, even: float = 1.2, alike: float = 0.7,
+                 buckets: int = 512) -> list[tuple[str, ...]]:
+    """Sets of words of the sample (y, text) that stand for each other.
+
+    Candidates are the ``most`` most frequent words that lie in at least ``share`` of the rows of either label and, of
+    those with the one label, in at most ``even`` times the share of those with the other. A candidate joins the first
+    set whose most frequent word has neighbours (hashed into ``buckets``) of a cosine of at least ``alike``.
+    """
+    def distinct(batches):
+        for b in batches:
+            for lo in range(0, len(b), 128):
+                part = b.slice(lo, 128)
+                out = [(w, y) for y, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) for w in sorted(set(words(t.lower())))]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.int32()))], ["word", "y"])
+
+    n = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 2:
+        return []
+    counts = rows.mapInArrow(distinct, "word string, y int").groupBy("word").agg(
+        (F.count_if(F.col("y") == 0) / n[0]).alias("p"), (F.count_if(F.col("y") == 1) / n[1]).alias("q"))
+    counts = counts.filter((F.least("p", "q") >= share) & (F.greatest("p", "q") <= even * F.least("p", "q")))
+    found = [r["word"] for r in counts.orderBy(F.desc(F.col("p") + F.col("q")), "word").limit(most).collect()]
+    number = {w: k for k, w in enumerate(found)}
+
+    def neighbours(batches):
+        total = np.zeros((len(number), 2 * buckets), np.int64)
+        for b in batches:
+            for t in b.column(1):
+                text = words(t.as_py().lower())
+                for before, w, after in zip(["", *text], text, [*text[1:], ""]):
+                    k = number.get(w)
+                    if k is not None:
+                        total[k, crc32(before.encode()) % buckets] += 1
+                        total[k, buckets + crc32(after.encode()) % buckets] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+
+    if not found:
+        return []
+    total = sum((np.frombuffer(r["counts"], np.int64) for r in rows.coalesce(8).mapInArrow(neighbours, "counts binary").collect()),
+                np.zeros(2 * buckets * len(found), np.int64)).reshape(len(found), -1).astype(float)
+    total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    near, sets = total @ total.T, []
+    for k in range(len(found)):
+        home = next((s for s in sets if near[s[0], k] >= alike), None)
+        if home is None:
+            sets.append([k])
+        else:
+            home.append(k)
+    return [tuple(found[k] for k in s) for s in sets if len(s) > 1]
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        per_class: int = 3000, **options) -> ToxicityModel:
-    """Learn from the given labels (rows of ``labels`` that may be used) and the texts of ``docs``."""
+        per_class: int = 3000, sets=None, **options) -> ToxicityModel:
+    """Learn from the given labels (rows of ``labels`` that may be used) and the texts of ``docs``.
+
+    ``sets``: the terms that may stand for each other, in place of ``SWAPS`` and those found in the sample."""
     picked = bounded_sample(labels.select(labels[key].cast("long").alias("doc_id"), labels[label].cast("int").alias("y"))
                             .filter("y in (0, 1)"), "y", per_class)
     rows = two_columns(docs, key, text).join(F.broadcast(picked), "doc_id")  # 2 x per_class rows
-    rows = rows.dropDuplicates(["doc_id", "y"]).select("text", "y")
-    terms = {t for s in SWAPS for t in s}
+    rows = RunFolder(docs.sparkSession).keep(rows.dropDuplicates(["doc_id", "y"]).select("y", "text"), "sample")
+    sets = [*SWAPS, *exchangeable(rows)] if sets is None else sets
 
     def run(batches):
         for b in batches:
             for lo in range(0, len(b), 128):
                 part = b.slice(lo, 128)
-                texts = part.column(0).to_pylist()
-                named = [[w for w in dict.fromkeys(words(t.lower())) if w in terms] for t in texts]
-                yield pa.RecordBatch.from_arrays([
-                    part.column(1), pa.array([text_features(t).tobytes() for t in texts], pa.binary()),
-                    pa.array(named, pa.list_(pa.string()))], ["y", "h", "named"])
+                hashed = [text_features(t).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(hashed, pa.binary())], ["y", "h"])
 
-    got = rows.mapInArrow(run, "y int, h binary, named array<string>").collect()
+    got = rows.mapInArrow(run, "y int, h binary").collect()
     got.sort(key=lambda r: (r["y"], bytes(r["h"])))
-    return fit_hashes([np.frombuffer(r["h"], np.uint32) for r in got], np.array([r["y"] for r in got], float),
-                      [c for r in got for c in swap_changes(r["named"])], **options)
+    hashed = [np.frombuffer(r["h"], np.uint32) for r in got]
+    return fit_hashes(hashed, np.array([r["y"] for r in got], float), *readings_of(hashed, sets), **options)
 
 
 def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text",
