@@ -76,7 +76,7 @@ def test_contract(spark):
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
     own = {k for k in q if k != "pipeline" and not re.match(r"op\d+_", k)}  # the rest belongs to a subpackage that may be absent
-    assert set(o) <= set(q) and own - set(o) == {"threshold_table"}
+    assert set(o) <= set(q) and own == set(o) & own
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["Date", "Site_Code", "Site_Name"]
