@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from signalwatch.functions.rounding import round_half_even, round_to_step
@@ -43,7 +43,7 @@ def _by_site(df: DataFrame, key: str, value, name: str) -> DataFrame:
 
 
 def month_grid(monthly: DataFrame, annual: DataFrame, rates: DataFrame, measure: str = "All",
-               full_calendar: bool = False) -> DataFrame:
+               full_calendar: bool = False, lost: Observation | None = None, year_start: str | None = None) -> DataFrame:
     """L3 + L4 + C5/C6: every site with denominators x every month with an event anywhere, with its
     count (0 where missing), the denominator of year Y-1 and the rate of period '(Y-3)-(Y-1)'.
 
@@ -54,19 +54,28 @@ def month_grid(monthly: DataFrame, annual: DataFrame, rates: DataFrame, measure:
     first to the last month with an event instead, so a month without any event still
     gets rows. The rate table joins on (site, period) when it has a site column, else on
     the period only (national rates).
+
+    ``lost`` watches ``events_without_denominator``, the events of sites that have no denominators and so
+    no rows here; ``year_start`` names a column that marks each site's first month of a year.
     """
     if full_calendar:
         first = F.to_date(F.concat(F.min("year_month"), F.lit("-01")))
         last = F.to_date(F.concat(F.max("year_month"), F.lit("-01")))
         seq = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
-        months = monthly.agg(F.transform(seq, lambda d: F.date_format(d, "yyyy-MM"))).scalar()
+        months = monthly.agg(F.transform(seq, lambda d: F.date_format(d, "yyyy-MM")).alias("m"))
     else:
-        months = monthly.agg(F.array_sort(F.collect_set("year_month"))).scalar()
+        months = monthly.agg(F.array_sort(F.collect_set("year_month")).alias("m"))
+    same_year = lambda m, k: F.substring(m, 1, 4) == F.substring(F.get("m", k - 1), 1, 4)
+    months = months.select(F.transform("m", lambda m, k: F.struct(m.alias("year_month"), (~F.coalesce(same_year(m, k), F.lit(False))).alias("first")))).scalar()
     births = F.col("Monthly_Term_Births") if measure == "All" else F.col("Monthly_Term_Live_Births")
     sites = _by_site(annual, "Year", births, "births").join(
-        _by_site(monthly, "year_month", F.col("monthly_count"), "counts"), "Site_Code", "left")
-    g = period_keys(sites.select("Site_Code", "births", "counts", F.explode(months).alias("year_month")))
-    g = g.select("Site_Code", "year_month", "refrate_period",
+        _by_site(monthly, "year_month", F.col("monthly_count"), "counts"), "Site_Code", "full" if lost else "left")
+    if lost:
+        events = F.aggregate(F.map_values("counts"), F.lit(0).cast("long"), lambda a, n: a + n)
+        sites = sites.observe(lost, F.sum(F.when(F.col("births").isNull(), events)).alias("events_without_denominator"))
+        sites = sites.filter("births is not null")
+    g = period_keys(sites.select("Site_Code", "births", "counts", F.inline(months)))
+    g = g.select("Site_Code", "year_month", "refrate_period", *([F.col("first").alias(year_start)] if year_start else []),
                  F.coalesce(F.try_element_at("counts", F.col("year_month")), F.lit(0).cast("long")).alias("numerator"),
                  F.try_element_at("births", F.col("denom_period")).alias("denominator"))
     by_site = "Site_Code" in rates.columns
@@ -74,7 +83,7 @@ def month_grid(monthly: DataFrame, annual: DataFrame, rates: DataFrame, measure:
     cond = F.col("refrate_period") == F.col("r_period")
     g = g.join(r, cond & (F.col("Site_Code") == F.col("r_site")) if by_site else cond, "left")
     return g.select("Site_Code", "year_month", "numerator", "refrate_period", "Ref_Rate",
-                    _event_year(F.col("year_month")).alias("Event_Year"), "denominator")
+                    _event_year(F.col("year_month")).alias("Event_Year"), "denominator", *([year_start] if year_start else []))
 
 
 def site_month_grid(month_rows: DataFrame) -> DataFrame:
@@ -89,10 +98,14 @@ def control_parameters(df_for_cusum: DataFrame) -> DataFrame:
     return with_parameters(df_for_cusum.select("Site_Code", "Event_Year", "Ref_Rate", "denominator").distinct())
 
 
+def in_control(rate: Column, denominator: Column) -> Column:
+    """The in-control count of a month."""
+    return round_half_even(rate * denominator, 2)
+
+
 def with_parameters(df: DataFrame) -> DataFrame:
     """The parameters of each row from its own rate and denominator."""
-    ic = round_half_even(F.col("Ref_Rate") * F.col("denominator"), 2)
-    p = df.withColumn("inControlCount", ic).withColumn("outControlCount", 2 * F.col("inControlCount"))
+    p = df.withColumn("inControlCount", in_control(F.col("Ref_Rate"), F.col("denominator"))).withColumn("outControlCount", 2 * F.col("inControlCount"))
     ok = F.col("inControlCount") > 0
     ref = F.when(ok, (F.col("outControlCount") - F.col("inControlCount"))
                  / (F.ln(F.col("outControlCount")) - F.ln(F.col("inControlCount"))))

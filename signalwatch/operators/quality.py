@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.params import GATE_MIN_BIRTHS, NEW_SITE_IGNORE_CODES, NEW_SITE_IGNORE_PREFIX, POSTCODE_SAME_SITE
@@ -54,23 +54,42 @@ def new_sites_count(check: DataFrame) -> DataFrame:
             .agg(F.countDistinct("Baby_ID").alias("Total")))
 
 
+def new_site_gates(min_births: int = GATE_MIN_BIRTHS) -> dict[str, Column]:
+    """The gates that count rows of ``new_sites_count``."""
+    return {"new_site_over_min_births": F.count_if((F.col("Total") > min_births) & (F.col("Current_Trust") == 0)),
+            "new_site_in_current_trust": F.count_if(F.col("Current_Trust") == 1)}
+
+
+def unmapped_gates(min_births: int = GATE_MIN_BIRTHS) -> dict[str, Column]:
+    """The gates that count rows of ``unmapped_totals``."""
+    return {"unmapped_site_with_event": F.count_if(F.col("Deceased_Type_Flag").isNotNull()),
+            "unmapped_site_over_min_births": F.count_if(F.col("Total") > min_births)}
+
+
+def latest_birth() -> dict[str, Column]:
+    """The last birth at a current site, of ``with_trust``."""
+    return {"latest_birth_date": F.max(F.when(F.col("Current_Site") == 1, F.col("date_of_birth")))}
+
+
 def quality_gates(new_counts: DataFrame, unmapped_tot: DataFrame, current: DataFrame,
                   min_births: int = GATE_MIN_BIRTHS) -> DataFrame:
     """K5 + K6 as one row: each gate is a count, any count > 0 fails the run.
 
     Each figure is a global aggregate evaluated as a scalar subquery (partial
     aggregation on every partition, one tiny final merge); nothing is collected
-    by this function. ``raise_on_failure`` acts on the row at the edge.
+    by this function. ``raise_on_failure`` acts on the row at the edge. A flow that
+    writes its tables watches the same figures while it writes (``observed_row``).
     """
-    ut = unmapped_tot.agg(F.struct(F.count_if(F.col("Deceased_Type_Flag").isNotNull()).alias("c"),
-                                   F.count_if(F.col("Total") > min_births).alias("d"))).scalar()
-    c, d = ut.getField("c"), ut.getField("d")
+    unmapped = unmapped_gates(min_births)
+    ut = unmapped_tot.agg(F.struct(*(c.alias(k) for k, c in unmapped.items()))).scalar()
     latest = current.agg(F.max("date_of_birth")).scalar()
-    return new_counts.agg(
-        F.count_if((F.col("Total") > min_births) & (F.col("Current_Trust") == 0)).alias("new_site_over_min_births"),
-        F.count_if(F.col("Current_Trust") == 1).alias("new_site_in_current_trust"),
-    ).select("*", c.alias("unmapped_site_with_event"), d.alias("unmapped_site_over_min_births"),
-             latest.alias("latest_birth_date"))
+    return new_counts.agg(*(c.alias(k) for k, c in new_site_gates(min_births).items())).select(
+        "*", *(ut.getField(k).alias(k) for k in unmapped), latest.alias("latest_birth_date"))
+
+
+def observed_row(spark: SparkSession, seen: dict, types: dict[str, str]) -> DataFrame:
+    """Watched figures as one row; a count of nothing is 0."""
+    return spark.range(1).select(*(F.lit(0 if seen[k] is None and t == "long" else seen[k]).cast(t).alias(k) for k, t in types.items()))
 
 
 GATE_MESSAGES = {

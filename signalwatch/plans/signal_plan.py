@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from signalwatch.operators import cusum, grid, lines, register, thresholds, vlad, workdays
 from signalwatch.functions.dates import month_start, third_last_day
+from signalwatch.operators.quality import observed_row
 from signalwatch.params import SignalParams
 from signalwatch.session import RunFolder
 
 
+def _no_key():
+    return F.col("Site_Code").isNull() | F.col("year_month").isNull()
+
+
 class SignalFlow:
     """Lazy stages of the signal pipeline; each property is one reference table.
 
@@ -41,15 +46,16 @@ class SignalFlow:
         self._given = threshold_table
         self.folder = RunFolder(events.sparkSession) if persist else None
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return self.folder.keep(df, name) if self.persist else df
+    def _keep(self, df: DataFrame, name: str, watched=None) -> DataFrame:
+        return self.folder.keep(df, name, watched) if self.persist else df
 
     # --- grid and parameters ------------------------------------------------
     @cached_property
     def base(self) -> DataFrame:
         """Events by (site, day, month, outcome); everything later reads this instead of the events."""
         keys = ["Site_Code", "test_date", "year_month", "outcome"]
-        return self._keep(self.events_in.groupBy(*keys).agg(F.sum("event_count").alias("event_count")), "event_days")
+        return self._keep(self.events_in.groupBy(*keys).agg(F.sum("event_count").alias("event_count")), "event_days",
+                          {"events_without_key": F.sum(F.when(_no_key(), F.col("event_count")))})
 
     @cached_property
     def events(self) -> DataFrame:
@@ -70,8 +76,15 @@ class SignalFlow:
 
     @cached_property
     def df_for_cusum(self) -> DataFrame:     # L4
-        df = grid.month_grid(self.monthly, self.annual, self.rates, self.p.selected_measure, self.p.full_month_calendar)
-        return self._keep(df, "month_grid")
+        lost = Observation() if self.persist else None
+        df = grid.month_grid(self.monthly, self.annual, self.rates, self.p.selected_measure, self.p.full_month_calendar, lost,
+                             "_year_start" if self.persist else None)
+        if not self.persist:
+            return df
+        ic = grid.in_control(F.col("Ref_Rate"), F.col("denominator"))
+        df = self._keep(df, "month_grid", {"site_years_without_design": F.count_if(F.col("_year_start") & (ic.isNull() | (ic <= 0)))})
+        self.folder.seen["events_without_denominator"] = lost.get.get("events_without_denominator")
+        return df.drop("_year_start")
 
     @cached_property
     def control(self) -> DataFrame:          # L5
@@ -97,19 +110,22 @@ class SignalFlow:
     def signal_gates(self) -> DataFrame:     # N6, N8 reported instead of stopping the run
         """One row: site-years without a design (missing rate or denominator, ic <= 0), chart
         months without thresholds, events at sites without denominators, and events
-        without a site or a month."""
+        without a site or a month. A flow that writes its tables has counted them while it
+        wrote the events by day, the month grid and the chart months (a rate table has one row
+        for each period)."""
+        names = ["site_years_without_design", "months_without_threshold", "events_without_denominator", "events_without_key"]
+        if self.persist:
+            self.base, self.df_for_cusum, self.cusum_out  # written by now
+            return observed_row(self.events_in.sparkSession, self.folder.seen, dict.fromkeys(names, "long"))
         missing = self.with_thresholds.agg(
             F.count_if(F.col("k").isNull() | F.col("h_L2").isNull())).scalar()
         sites = self.annual.select("Site_Code").distinct()
         lost = (self.events.join(sites, "Site_Code", "left_anti")
                 .agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar())
-        no_key = F.col("Site_Code").isNull() | F.col("year_month").isNull()
-        unkeyed = self.base.filter(no_key).agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar()
+        unkeyed = self.base.filter(_no_key()).agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar()
         return self.control.agg(
-            F.count_if(F.col("inControlCount").isNull() | (F.col("inControlCount") <= 0))
-             .alias("site_years_without_design")
-        ).select("*", missing.alias("months_without_threshold"), lost.alias("events_without_denominator"),
-                 unkeyed.alias("events_without_key"))
+            F.count_if(F.col("inControlCount").isNull() | (F.col("inControlCount") <= 0)).alias(names[0])
+        ).select("*", missing.alias(names[1]), lost.alias(names[2]), unkeyed.alias(names[3]))
 
     # --- chart ---------------------------------------------------------------
     @cached_property
@@ -139,7 +155,8 @@ class SignalFlow:
     @cached_property
     def cusum_out(self) -> DataFrame:
         df = lines.cusum_output(self.recency)
-        return self._keep(df, "chart_months")
+        # the statistic is missing just where k or the level-2 interval is
+        return self._keep(df, "chart_months", {"months_without_threshold": F.count_if(F.col("Cusum_Statistic").isNull())})
 
     @cached_property
     def resets(self) -> DataFrame:           # L13

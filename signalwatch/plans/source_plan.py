@@ -17,7 +17,8 @@ class SourceFlow:
     ``fast=True`` (the composed pipeline) skips DISTINCTs whose effect a later
     DISTINCT or distinct count removes anyway, and writes the cleaned births to
     the shared checkpoint folder once, so that the four outputs and the gates
-    read them instead of re-running the chain.
+    read them instead of re-running the chain. The gates are counted by the jobs
+    that write those tables.
     """
 
     def __init__(self, raw: DataFrame, provider: DataFrame, mergers: DataFrame, pmap: DataFrame,
@@ -26,8 +27,8 @@ class SourceFlow:
         self.p, self.fast, self.persist = params, fast, persist
         self.folder = RunFolder(raw.sparkSession) if persist else None
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return self.folder.keep(df, name) if self.persist else df
+    def _keep(self, df: DataFrame, name: str, watched=None) -> DataFrame:
+        return self.folder.keep(df, name, watched) if self.persist else df
 
     @cached_property
     def births(self) -> DataFrame:          # J1 (PDS_raw)
@@ -56,7 +57,7 @@ class SourceFlow:
     @cached_property
     def with_trust(self) -> DataFrame:      # J7
         df = clean.with_trust(self.postcode_mapped, self.provider)
-        return self._keep(df, "births_with_trust")
+        return self._keep(df, "births_with_trust", quality.latest_birth())
 
     @cached_property
     def current(self) -> DataFrame:         # J8
@@ -87,7 +88,7 @@ class SourceFlow:
     @cached_property
     def unmapped_totals(self) -> DataFrame:  # K2
         rows = quality.unmapped_rows(self.with_trust if self.persist else self.postcode_mapped)
-        return self._keep(quality.unmapped_totals(rows), "unmapped_totals")
+        return self._keep(quality.unmapped_totals(rows), "unmapped_totals", quality.unmapped_gates(self.p.min_births))
 
     @cached_property
     def new_sites(self) -> DataFrame:       # K3
@@ -96,7 +97,7 @@ class SourceFlow:
     @cached_property
     def new_sites_count(self) -> DataFrame:  # K4
         rows = quality.new_site_rows(self.with_trust, self.provider, self.p.ignore_codes, self.p.ignore_prefix)
-        return self._keep(quality.new_sites_count(rows), "new_sites_count")
+        return self._keep(quality.new_sites_count(rows), "new_sites_count", quality.new_site_gates(self.p.min_births))
 
     @cached_property
     def mapping_gates(self) -> DataFrame:   # N13
@@ -104,4 +105,8 @@ class SourceFlow:
 
     @cached_property
     def gates(self) -> DataFrame:           # K5, K6
-        return quality.quality_gates(self.new_sites_count, self.unmapped_totals, self.current, self.p.min_births)
+        tables = self.with_trust, self.new_sites_count, self.unmapped_totals  # written by now, and counted
+        if not self.persist:
+            return quality.quality_gates(*tables[1:], self.current, self.p.min_births)
+        types = dict.fromkeys([*quality.new_site_gates(), *quality.unmapped_gates()], "long") | {"latest_birth_date": "date"}
+        return quality.observed_row(self.raw.sparkSession, self.folder.seen, types)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "signalwatch",
@@ -55,18 +55,41 @@ class RunFolder:
     executor costs one re-read and not a rerun of the whole chain, and lets several
     outputs share one computation. Parquet rather than ``checkpoint()``: the planner
     then sees the real file sizes. ``remove()`` deletes the folder at the end of a run.
+
+    A table may be bucketed by a column: its readers then join, group and window by that
+    column without a shuffle. Figures may be watched while a table is written; they
+    come from that job and end up in ``seen``.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.path = os.path.join(ensure_checkpoint_dir(spark), f"run-{uuid.uuid4().hex}")
+        self.name = f"run_{uuid.uuid4().hex}"
+        self.path = os.path.join(ensure_checkpoint_dir(spark), self.name)
+        self.seen: dict[str, object] = {}
+        self.tables: list[str] = []
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, watched: dict[str, Column] | None = None, by: str | None = None) -> DataFrame:
         path = os.path.join(self.path, name)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        watch = Observation(f"{self.name}_{name}")
+        if by:  # before the watch, so that this stays the last step
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            df = df.repartition(n, by)
+        if watched:
+            df = df.observe(watch, *(c.alias(k) for k, c in watched.items()))
+        if by:
+            table = f"{self.name}_{name}"
+            df.write.mode("overwrite").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table)
+            self.tables.append(table)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        if watched:
+            got = watch.get
+            self.seen |= {k: got.get(k) for k in watched}
+        return self.spark.table(table) if by else self.spark.read.parquet(path)
 
     def remove(self) -> None:
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
