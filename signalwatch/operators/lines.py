@@ -104,9 +104,10 @@ def threshold_rows(out: DataFrame) -> DataFrame:
     t = (out.select("Site_Code", F.make_date(y, F.lit(1), F.lit(1)).alias("Start_Date"),
                     F.make_date(y, F.lit(12), F.lit(31)).alias("End_Date"), "Level1_Threshold", "Level2_Threshold")
          .withColumns({"lo": lo, "hi": hi}).distinct())  # the span is read once, here
-    cols = [c for c in t.columns if c.startswith("Level")]
-    t = t.unpivot(["Site_Code", "Start_Date", "End_Date", "lo", "hi"], cols, "Line_Type", "Cusum_Statistic")
-    t = t.unpivot(["Site_Code", "Line_Type", "Cusum_Statistic", "lo", "hi"], ["Start_Date", "End_Date"], "Names", "Date")
+    # four rows each; a generator, unlike an unpivot, leaves the rows' partitioning by site as it is
+    ends = [F.struct(F.lit(c).alias("Line_Type"), F.col(c).alias("Cusum_Statistic"), F.col(d).alias("Date"))
+            for c in ("Level1_Threshold", "Level2_Threshold") for d in ("Start_Date", "End_Date")]
+    t = t.select("Site_Code", "lo", "hi", F.inline(F.array(*ends)))
     lo, hi = F.col("lo"), F.col("hi")
     ref_end = F.col("Date") < lo
     is1, is2 = F.col("Line_Type") == "Level1_Threshold", F.col("Line_Type") == "Level2_Threshold"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalwatch.functions.labels import outcome_label
@@ -12,14 +12,15 @@ from signalwatch.params import DAY_LABELS
 VLAD_COLS = ["Date", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Excess_Events", "Signal_Flag", "Event_Type"]
 
 
-def daily_events(events: DataFrame) -> DataFrame:
+def daily_events(events: DataFrame, by_site: bool = False) -> DataFrame:
     """Events per (site, day) with the daily tooltip.
 
     Dealt out by (site, day) once: the counts per outcome and the day's total and
-    text are both worked out on that partitioning.
+    text are both worked out on that partitioning. ``by_site``: the events are a table
+    bucketed by site with a few rows for each day, and stay where they are.
     """
     n = F.sum("event_count").cast("long").alias("n")
-    per = events.repartition("Site_Code", "test_date").groupBy("Site_Code", "test_date", "outcome").agg(n)
+    per = (events if by_site else events.repartition("Site_Code", "test_date")).groupBy("Site_Code", "test_date", "outcome").agg(n)
     lab = outcome_label(F.col("outcome"), DAY_LABELS)
     per = per.select("Site_Code", "test_date", "n", lab.alias("label"),
                      F.concat(F.col("n").cast("string"), F.lit(" "), lab).alias("item"))
@@ -35,6 +36,21 @@ def daily_expand(monthly: DataFrame) -> DataFrame:
                           F.explode(F.sequence(first, F.last_day("Date"))).alias("Date_VLAD"))
 
 
+def _day_rows(monthly: DataFrame, others: list[Column]) -> DataFrame:
+    """H4 as the first part of a union: the days of each charted month with their expected events, the month's level and ``others``.
+
+    All columns but the site come from the generator. A projection above it would hide
+    from the union that its rows are still bucketed by site.
+    """
+    days = F.sequence(F.trunc("Date", "month"), F.last_day("Date"))
+
+    def row(d: Column) -> Column:
+        births_in_day = F.col("denominator") / F.dayofmonth(F.last_day(d))
+        return F.struct(d.alias("d"), F.lit(1).alias("_kind"), (births_in_day * F.col("Ref_Rate")).alias("_expected"),
+                        F.col("Level_of_Signal").alias("Signal_Flag"), *others)
+    return monthly.select("Site_Code", F.inline(F.transform(days, row)))
+
+
 def vlad(monthly: DataFrame, daily: DataFrame) -> DataFrame:
     """Expected events per day = (denominator / days in month) x rate; excess =
     observed - expected; cumulative excess per site in date order. The day's flag is
@@ -51,23 +67,20 @@ def vlad(monthly: DataFrame, daily: DataFrame) -> DataFrame:
     As in the reference a missing expected value makes the running total missing
     from that day on (a plain window SUM would skip it).
     """
-    days = daily_expand(monthly).select(
-        "Site_Code", F.col("Date_VLAD").alias("d"), F.lit(1).alias("_kind"), "denominator", "event_rate",
-        "Signal_Flag", F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type"))
+    days = _day_rows(monthly, [F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type")])
     ev = daily.select(
         "Site_Code", F.col("test_date").alias("d"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("double").alias("denominator"), F.lit(None).cast("double").alias("event_rate"),
+        F.lit(None).cast("double").alias("_expected"),
         F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type")
     by_day = Window.partitionBy("Site_Code").orderBy("d", "_kind")
     same_day = (F.lag("_kind").over(by_day) == 0) & (F.lag("d").over(by_day) == F.col("d"))
     u = days.unionByName(ev).select(
-        "Site_Code", "d", "_kind", "denominator", "event_rate", "Signal_Flag",
+        "Site_Code", "d", "_kind", "_expected", "Signal_Flag",
         F.when(same_day, F.lag("daily_count").over(by_day)).alias("cnt"),
         F.when(same_day, F.lag("Event_Type").over(by_day)).alias("Event_Type"))
     j = u.filter(F.col("_kind") == 1)
     cnt = F.coalesce(F.col("cnt"), F.lit(0).cast("long"))
-    births_in_day = F.col("denominator") / F.dayofmonth(F.last_day("d"))
-    excess = cnt - births_in_day * F.col("event_rate")
+    excess = cnt - F.col("_expected")
     w = Window.partitionBy("Site_Code").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     j = j.select("Site_Code", "d", "Signal_Flag", "Event_Type", cnt.alias("daily_count"),
                  excess.alias("excess_events"))
@@ -106,17 +119,14 @@ def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider
     line_cols = [*CHART_COLS, *extra]
     line_types = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
     nulls_line = [F.lit(None).cast(line_types[c]).alias(c) for c in line_cols]
-    days = daily_expand(monthly).select(
-        "Site_Code", F.col("Date_VLAD").alias("d"), F.lit(1).alias("_kind"), "denominator", "event_rate",
-        "Signal_Flag", F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type"),
-        *nulls_line)
+    days = _day_rows(monthly, [*nulls_line, F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type")])
     ev = daily.select(
         "Site_Code", F.col("test_date").alias("d"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("double").alias("denominator"), F.lit(None).cast("double").alias("event_rate"),
+        F.lit(None).cast("double").alias("_expected"),
         F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type", *nulls_line)
     ln = lines.select(
         "Site_Code", F.col("Date").alias("d"), F.lit(2).alias("_kind"),
-        F.lit(None).cast("double").alias("denominator"), F.lit(None).cast("double").alias("event_rate"),
+        F.lit(None).cast("double").alias("_expected"),
         F.lit(None).cast("int").alias("Signal_Flag"), F.lit(None).cast("long").alias("daily_count"),
         F.lit(None).cast("string").alias("Event_Type"), *line_cols)
     order = Window.partitionBy("Site_Code").orderBy("d", "_kind")
@@ -125,13 +135,11 @@ def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider
     # pass 1: the day's events, and whether chart rows follow on the same date
     ev_here = (F.lag("_kind").over(order) == 0) & (F.lag("d").over(order) == d)
     u = days.unionByName(ev).unionByName(ln).select(
-        "Site_Code", "d", "_kind", "Signal_Flag", *line_cols,
+        "Site_Code", "d", "_kind", "_expected", "Signal_Flag", *line_cols,
         F.when(kind == 1, F.coalesce(F.when(ev_here, F.lag("daily_count").over(order)),
                                      F.lit(0).cast("long"))).alias("cnt"),
         F.when((kind == 1) & ev_here, F.lag("Event_Type").over(order)).alias("Event_Type"),
-        ((F.lead("_kind").over(order) == 2) & (F.lead("d").over(order) == d)).alias("_lined"),
-        F.when(kind == 1, F.col("denominator") / F.dayofmonth(F.last_day("d")) * F.col("event_rate")
-               ).alias("_expected"))
+        ((F.lead("_kind").over(order) == 2) & (F.lead("d").over(order) == d)).alias("_lined"))
     # pass 2: running excess over the day rows
     excess = F.col("cnt") - F.col("_expected")
     u = u.withColumn("_excess", F.when(kind == 1, excess))

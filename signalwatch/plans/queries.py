@@ -19,8 +19,8 @@ from signalwatch.functions.rounding import round6
 from signalwatch.operators import clean, cusum, workdays
 from signalwatch.plans.testbed_plan import FIXED_H, shared_flows, signal_from_source, source_flow
 from signalwatch.session import RunFolder
-from signalwatch.sources.readers import read_denoms, read_events, read_register, read_text
-from signalwatch.sources.sinks import write_csv, write_dated, write_parquet, write_register
+from signalwatch.sources.readers import read_denoms, read_events, read_register, read_table, read_text
+from signalwatch.sources.sinks import write_csv, write_dated, write_parquet, write_register, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 START_DATE = dt.date(1996, 1, 1)
@@ -409,6 +409,18 @@ def q_csv_events(spark, d):
     return read_events(spark, path)
 
 
+@query("catalog_events")
+def q_catalog_events(spark, d):
+    """A2: the events and the providers as tables of the catalog, read by name and joined again."""
+    src, run = _src(spark, d), RunFolder(spark)
+    tables = {"events": src.events, "providers": src.provider}
+    for name, df in tables.items():
+        write_table(df, f"{run.name}_{name}", f"{run.path}/{name}")
+    events, providers = (read_table(spark, f"{run.name}_{name}", dict(df.dtypes)) for name, df in tables.items())
+    names = providers.select("Site_Code", F.col("Trust_Code").alias("trust")).distinct()
+    return events.join(names, "Site_Code", "left").groupBy("Site_Code", "trust", "outcome").agg(F.sum("event_count").alias("events"))
+
+
 @query("csv_denoms")
 def q_csv_denoms(spark, d):
     """A1, A5: the denominators as CSV and back."""

@@ -11,7 +11,10 @@ from signalwatch.operators import cusum, grid, lines, register, thresholds, vlad
 from signalwatch.functions.dates import month_start, third_last_day
 from signalwatch.operators.quality import observed_row
 from signalwatch.params import SignalParams
-from signalwatch.session import RunFolder
+from signalwatch.session import RunFolder, figures
+
+#: Tables that are bucketed by site: what is joined, grouped and windowed by site later needs no shuffle.
+BY_SITE = dict.fromkeys(["event_months", "annual", "month_grid", "chart_months", "event_days"], "Site_Code")
 
 
 def _no_key():
@@ -33,6 +36,8 @@ class SignalFlow:
     set, the daily line and the register) and the final table with its
     notification columns (the run's output, read again by the summary; a batch run
     writes it straight to its place). The writes also cut the lineage for executor loss.
+    The tables of ``BY_SITE`` are bucketed by site when they are written, by the month at most; the
+    fold, the line set and the daily line, thirty times as long, then stay on that partitioning.
     """
 
     def __init__(self, events: DataFrame, denoms: DataFrame, rates: DataFrame, provider: DataFrame,
@@ -47,7 +52,7 @@ class SignalFlow:
         self.folder = RunFolder(events.sparkSession) if persist else None
 
     def _keep(self, df: DataFrame, name: str, watched=None) -> DataFrame:
-        return self.folder.keep(df, name, watched) if self.persist else df
+        return self.folder.keep(df, name, watched, BY_SITE.get(name)) if self.persist else df
 
     # --- grid and parameters ------------------------------------------------
     @cached_property
@@ -83,7 +88,8 @@ class SignalFlow:
             return df
         ic = grid.in_control(F.col("Ref_Rate"), F.col("denominator"))
         df = self._keep(df, "month_grid", {"site_years_without_design": F.count_if(F.col("_year_start") & (ic.isNull() | (ic <= 0)))})
-        self.folder.seen["events_without_denominator"] = lost.get.get("events_without_denominator")
+        seen = figures(lost)
+        self.folder.seen["events_without_denominator"] = seen["events_without_denominator"] if seen else self._lost_events().first()[0]
         return df.drop("_year_start")
 
     @cached_property
@@ -119,14 +125,16 @@ class SignalFlow:
             return observed_row(self.events_in.sparkSession, self.folder.seen, dict.fromkeys(names, "long"))
         missing = self.with_thresholds.agg(
             F.count_if(F.col("k").isNull() | F.col("h_L2").isNull())).scalar()
-        sites = self.annual.select("Site_Code").distinct()
-        lost = (self.events.join(sites, "Site_Code", "left_anti")
-                .agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar())
+        lost = self._lost_events().scalar()
         unkeyed = self.base.filter(_no_key()).agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long")).scalar()
         return self.control.agg(
             F.count_if(F.col("inControlCount").isNull() | (F.col("inControlCount") <= 0)).alias(names[0])
         ).select("*", missing.alias(names[1]), lost.alias(names[2]), unkeyed.alias(names[3]))
 
+    def _lost_events(self) -> DataFrame:
+        sites = self.annual.select("Site_Code").distinct()
+        return self.events.join(sites, "Site_Code", "left_anti").agg(F.coalesce(F.sum("event_count"), F.lit(0)).cast("long"))
+
     # --- chart ---------------------------------------------------------------
     @cached_property
     def cusum(self) -> DataFrame:            # L8
@@ -173,7 +181,7 @@ class SignalFlow:
     # --- daily line ------------------------------------------------------------
     @cached_property
     def daily(self) -> DataFrame:            # L16
-        return vlad.daily_events(self.events)
+        return vlad.daily_events(self.events, by_site=self.persist)
 
     @cached_property
     def vlad(self) -> DataFrame:             # L17
@@ -238,6 +246,8 @@ class SignalFlow:
     def notified_plan(self) -> DataFrame:    # L22, L23
         """The final table with notification columns; these join the chart rows, a month each, not the daily table."""
         told = register.with_notifications(self.lines, self.formatted, self.holidays, self.p.checklist_working_days)
+        if self.persist:  # back on the buckets' partitioning, so that the daily rows stay where they are
+            told = told.repartition(self.folder.buckets, "Site_Code")
         return vlad.final_table(self.cusum_out, self.daily, told, self.provider, register.NOTIFICATION_COLS)
 
     @cached_property

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
@@ -48,6 +49,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def figures(watch: Observation) -> dict | None:
+    """What an Observation has seen; None where the optimizer found the watched rows to be none and left the watch out."""
+    try:
+        return watch.get or None
+    except Py4JJavaError as e:  # such a row has no schema, which the conversion asserts
+        if "AssertionError" not in str(e):
+            raise
+        return None
+
+
 class RunFolder:
     """The intermediate tables of one run: a folder of its own under the shared checkpoint folder.
 
@@ -67,25 +78,28 @@ class RunFolder:
         self.path = os.path.join(ensure_checkpoint_dir(spark), self.name)
         self.seen: dict[str, object] = {}
         self.tables: list[str] = []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def keep(self, df: DataFrame, name: str, watched: dict[str, Column] | None = None, by: str | None = None) -> DataFrame:
         path = os.path.join(self.path, name)
         watch = Observation(f"{self.name}_{name}")
         if by:  # before the watch, so that this stays the last step
-            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            df = df.repartition(n, by)
+            df = df.repartition(self.buckets, by)
         if watched:
             df = df.observe(watch, *(c.alias(k) for k, c in watched.items()))
         if by:
             table = f"{self.name}_{name}"
-            df.write.mode("overwrite").bucketBy(n, by).sortBy(by).option("path", path).saveAsTable(table)
+            df.write.mode("overwrite").bucketBy(self.buckets, by).sortBy(by).option("path", path).saveAsTable(table)
             self.tables.append(table)
         else:
             df.write.mode("overwrite").parquet(path)
+        kept = self.spark.table(table) if by else self.spark.read.parquet(path)
         if watched:
-            got = watch.get
-            self.seen |= {k: got.get(k) for k in watched}
-        return self.spark.table(table) if by else self.spark.read.parquet(path)
+            got = figures(watch)
+            if got is None and not kept.isEmpty():
+                raise RuntimeError(f"the figures of {name} were not watched")
+            self.seen |= {k: (got or {}).get(k) for k in watched}
+        return kept
 
     def remove(self) -> None:
         for table in self.tables:

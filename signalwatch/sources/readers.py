@@ -75,6 +75,15 @@ def read_postcode_mapping(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.POSTCODE_MAPPING)
 
 
+def read_table(spark: SparkSession, name: str, columns: dict[str, str]) -> DataFrame:
+    """A2: an input that the catalog holds, by its name; its columns by theirs, cast to the types of ``columns``."""
+    table = spark.read.table(name)
+    missing = [c for c in columns if c not in table.columns]
+    if missing:
+        raise ValueError(f"table {name} lacks the columns {missing}")
+    return table.select(*(F.col(c).cast(t).alias(c) for c, t in columns.items()))
+
+
 def read_register(spark: SparkSession, base: str, run_date: _dt.date) -> DataFrame | None:
     """Newest register snapshot strictly before ``run_date`` (partition pruning on run_date).
 

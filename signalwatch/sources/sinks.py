@@ -22,6 +22,12 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """A table of the catalog, replaced as a whole; with ``path`` its files lie there."""
+    out = df.write.mode("overwrite")
+    (out.option("path", path) if path else out).saveAsTable(name)
+
+
 def write_dated(df: DataFrame, base: str, run_date: _dt.date, fmt: str = "parquet") -> None:
     """Snapshot under ``base/run_date=YYYY-MM-DD``; only that day's partition is replaced.
 

@@ -28,7 +28,7 @@ def test_gates_of_no_births(spark):
     assert tuple(flow.gates.first()) == (0, 0, 0, 0, None)
 
 
-@pytest.mark.parametrize("change", ["none", "no rates", "a site without denominators", "no events"])
+@pytest.mark.parametrize("change", ["none", "no rates", "a site without denominators", "no denominators", "no events"])
 def test_observed_signal_gates_equal_the_counted_ones(spark, change):
     events, denoms, rates, provider = frames(spark)
     events = with_unkeyed(events)
@@ -36,8 +36,10 @@ def test_observed_signal_gates_equal_the_counted_ones(spark, change):
         rates = rates.filter("false")
     if change == "a site without denominators":
         denoms = denoms.filter("Site_Code <> 'ABC02'")
+    if change == "no denominators":
+        denoms = denoms.filter("false")
     if change == "no events":
         events = events.filter("false")
     rows = [SignalFlow(events, denoms, rates, provider, SignalParams(run_date=dt.date(2025, 7, 1), fixed_thresholds=(2.0, 4.0)), persist=p)
             .signal_gates.first() for p in (True, False)]
-    assert rows[0] == rows[1] and (rows[0].events_without_denominator > 0) == (change == "a site without denominators")
+    assert rows[0] == rows[1] and (rows[0].events_without_denominator > 0) == ("denominators" in change)
