@@ -61,9 +61,9 @@ def main() -> None:
     print("|---|" + "---|" * (len(COUNT) + 1))
     plain = RunFolder.keep
 
-    def keep(folder, df, name):
-        print(summarize(f"{name} (written)", df), flush=True)
-        return plain(folder, df, name)
+    def keep(folder, df, name, watched=None, by=None):
+        print(summarize(f"{name} (written)", df.repartition(folder.buckets, by) if by else df), flush=True)
+        return plain(folder, df, name, watched, by)
 
     RunFolder.keep = keep
     print(summarize("cleaning chain with every DISTINCT (J1-J7)", source_flow(spark, sf, fast=False).with_trust))
