@@ -5,7 +5,7 @@ carried value S'_{t-1} is 0 if round(S_{t-1}, 6) >= h2_t (the alarm resets the
 chart in the month it fires; note the test uses this row's h2) and S_{t-1}
 otherwise; the stored statistic is round(S_t, 6), the carried one is not.
 
-The series of a site is one row per month, so its length is bounded by the
+The series of a site is one row per month (or day), so its length is bounded by the
 calendar, not by the data volume. The fold runs inside the JVM as a
 higher-order ``aggregate`` over the site's month-sorted array: one shuffle by
 site, no Python, no per-row driver work. A missing k or h2 (missing inputs,
@@ -22,33 +22,47 @@ from pyspark.sql import functions as F
 
 from signalwatch.functions.rounding import round6
 
-_STEP = """
-slice(
-  aggregate(rows, CAST(array(0D) AS ARRAY<DOUBLE>), (acc, r) ->
-    array_append(acc,
-      CASE WHEN r.k IS NULL OR r.h2 IS NULL THEN CAST(NULL AS DOUBLE)
-           ELSE greatest(0D,
-                  CASE WHEN bround(coalesce(element_at(acc, -1), 0D), 6) >= r.h2 THEN 0D
-                       ELSE coalesce(element_at(acc, -1), 0D) END
-                  + r.x - r.k)
-      END)),
-  2, size(rows))
+#: Rows that one inner fold appends to its own array; the outer array then only grows once per block.
+BLOCK = 64
+
+_STEP = f"""
+flatten(slice(
+  aggregate(sequence(0, (size(rows) - 1) div {BLOCK}), CAST(array(array(first)) AS ARRAY<ARRAY<DOUBLE>>), (done, n) ->
+    array_append(done, slice(
+      aggregate(slice(rows, CAST(n * {BLOCK} + 1 AS INT), {BLOCK}), CAST(array(element_at(element_at(done, -1), -1)) AS ARRAY<DOUBLE>), (acc, r) ->
+        array_append(acc,
+          CASE WHEN r.k IS NULL OR r.h2 IS NULL THEN CAST(NULL AS DOUBLE)
+               ELSE greatest(0D,
+                      CASE WHEN bround(coalesce(element_at(acc, -1), 0D), 6) >= r.h2 THEN 0D
+                           ELSE coalesce(element_at(acc, -1), 0D) END
+                      + r.x - r.k)
+          END)),
+      2, {BLOCK}))),
+  2, size(rows)))
 """
 
 
 def cusum_reset(df: DataFrame, site: str = "Site_Code", order: str = "year_month", x: str = "numerator",
-                k: str = "k", h2: str = "h_L2", out: str = "Cusum_Statistic") -> DataFrame:
-    """E5: CUSUM with reset; returns ``df`` with ``out`` added (one row per input row)."""
+                k: str = "k", h2: str = "h_L2", out: str = "Cusum_Statistic", start: str | None = None,
+                raw: str | None = None) -> DataFrame:
+    """E5: CUSUM with reset; returns ``df`` with ``out`` added (one row per input row).
+
+    ``start`` names a column with the unrounded statistic that a site's first row continues from (the same in all of
+    the site's rows; 0 without it or where it is NULL); ``raw`` adds the unrounded statistic, from which a later run
+    continues. An array is copied by each append, so a series of n rows folds in blocks: n * BLOCK steps of
+    copying inside blocks and (n / BLOCK)^2 between them, where one array would take n^2.
+    """
     others = [c for c in df.columns if c not in (site, order)]
     packed = F.struct(F.col(order).alias("o"), F.col(x).cast("double").alias("x"),
                       F.col(k).cast("double").alias("k"), F.col(h2).cast("double").alias("h2"),
                       F.struct(*[F.col(c) for c in others]).alias("rest"))
-    per_site = df.groupBy(site).agg(F.array_sort(F.collect_list(packed)).alias("rows"))
+    first = F.first(F.col(start).cast("double")) if start else F.first(F.lit(0.0))
+    per_site = df.groupBy(site).agg(F.array_sort(F.collect_list(packed)).alias("rows"), first.alias("first"))
     folded = per_site.select(site, "rows", F.expr(_STEP).alias("s"))
     zipped = folded.select(site, F.explode(F.arrays_zip("rows", "s")).alias("z"))
     return zipped.select(site, F.col("z.rows.o").alias(order),
                          *[F.col(f"z.rows.rest.{c}").alias(c) for c in others],
-                         round6(F.col("z.s")).alias(out))
+                         round6(F.col("z.s")).alias(out), *([F.col("z.s").alias(raw)] if raw else []))
 
 
 def cusum_no_reset(df: DataFrame, site: str = "Site_Code", order: str = "year_month", x: str = "numerator",

@@ -51,7 +51,7 @@ def _day_rows(monthly: DataFrame, others: list[Column]) -> DataFrame:
     return monthly.select("Site_Code", F.inline(F.transform(days, row)))
 
 
-def vlad(monthly: DataFrame, daily: DataFrame) -> DataFrame:
+def vlad(monthly: DataFrame, daily: DataFrame, start: str | None = None) -> DataFrame:
     """Expected events per day = (denominator / days in month) x rate; excess =
     observed - expected; cumulative excess per site in date order. The day's flag is
     the month's level only on days with events.
@@ -66,21 +66,29 @@ def vlad(monthly: DataFrame, daily: DataFrame) -> DataFrame:
 
     As in the reference a missing expected value makes the running total missing
     from that day on (a plain window SUM would skip it).
+
+    ``start`` names a column of ``monthly`` with the running total before the site's
+    first row (the same in all of its rows); it goes into the first day's excess, so
+    the sum takes the same steps as one over all days.
     """
-    days = _day_rows(monthly, [F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type")])
+    before = [F.col(start).alias("_before")] if start else []
+    none_before = [F.lit(None).cast("double").alias("_before")] if start else []
+    days = _day_rows(monthly, [F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type"), *before])
     ev = daily.select(
         "Site_Code", F.col("test_date").alias("d"), F.lit(0).alias("_kind"),
         F.lit(None).cast("double").alias("_expected"),
-        F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type")
+        F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type", *none_before)
     by_day = Window.partitionBy("Site_Code").orderBy("d", "_kind")
     same_day = (F.lag("_kind").over(by_day) == 0) & (F.lag("d").over(by_day) == F.col("d"))
     u = days.unionByName(ev).select(
         "Site_Code", "d", "_kind", "_expected", "Signal_Flag",
         F.when(same_day, F.lag("daily_count").over(by_day)).alias("cnt"),
-        F.when(same_day, F.lag("Event_Type").over(by_day)).alias("Event_Type"))
+        F.when(same_day, F.lag("Event_Type").over(by_day)).alias("Event_Type"), *(["_before"] if start else []))
     j = u.filter(F.col("_kind") == 1)
     cnt = F.coalesce(F.col("cnt"), F.lit(0).cast("long"))
     excess = cnt - F.col("_expected")
+    if start:
+        excess = F.when(F.row_number().over(Window.partitionBy("Site_Code").orderBy("d")) == 1, excess + F.col("_before")).otherwise(excess)
     w = Window.partitionBy("Site_Code").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     j = j.select("Site_Code", "d", "Signal_Flag", "Event_Type", cnt.alias("daily_count"),
                  excess.alias("excess_events"))

@@ -7,7 +7,7 @@ The calendar covers the years the caller derives from its data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values: one-off bank-holiday changes in England -----------------
@@ -75,24 +75,32 @@ def bank_holidays(years: DataFrame, year_col: str = "year") -> DataFrame:
     return years.select(F.explode(days).alias("holiday"))
 
 
+def calendar(bounds: Column, holidays: DataFrame) -> DataFrame:
+    """Numbered calendar of the days in ``bounds`` (an array of dates): day, open (a working day) and number, the working
+    days up to and with this one. One row per calendar day, so numbering it in one window is bounded by the years."""
+    days = holidays.sparkSession.range(1).select(F.explode(bounds).alias("day"))
+    closed = holidays.select(F.col("holiday").alias("day"), F.lit(True).alias("_closed")).distinct()
+    open_ = (_weekday0(F.col("day")) < 5) & F.col("_closed").isNull()
+    days = days.join(closed, "day", "left").select("day", open_.alias("open"))
+    return days.withColumn("number", F.count_if("open").over(Window.orderBy("day")))
+
+
 def add_working_days(df: DataFrame, date_col: str, n: int, holidays: DataFrame, out: str) -> DataFrame:
     """``out`` = the n-th working day strictly after ``date_col`` (NULL stays NULL).
 
-    Only the distinct start dates are expanded, each to as many calendar days as
-    n working days can take: n + H weekdays, H the number of holidays in the
-    table, so a closure of any length still leaves n of them. The holiday list
-    is bounded by the years covered (8-10 rows a year).
+    The distinct start dates look up their number in one numbered calendar, and the
+    day of that number + n is the answer: two equi-joins with a table of one row per
+    day, however many start dates there are. The calendar ends n + H weekdays after
+    the last start, H the number of holidays, so a closure of any length still
+    leaves n working days.
     """
     closed = holidays.agg(F.countDistinct("holiday")).scalar()
     span = (F.ceil((F.lit(n) + closed) * 7 / 5) + 7).cast("int")
     starts = df.select(F.col(date_col).alias("_start")).filter(F.col("_start").isNotNull()).distinct()
-    cand = starts.select("_start", F.explode(F.sequence(F.date_add("_start", 1),
-                                                         F.date_add("_start", span))).alias("_day"))
-    cand = cand.filter(_weekday0(F.col("_day")) < 5)
-    cand = cand.join(holidays.select(F.col("holiday").alias("_day")), "_day", "left_anti")
-    ranked = (cand.groupBy("_start")
-              .agg(F.array_sort(F.collect_list("_day")).alias("_days")))
-    due = ranked.select("_start", F.element_at("_days", n).alias(out))
+    ends = starts.agg(F.min("_start").alias("lo"), F.max("_start").alias("hi"))
+    days = calendar(ends.select(F.sequence("lo", F.date_add("hi", span))).scalar(), holidays)
+    numbered = starts.join(days.select(F.col("day").alias("_start"), (F.col("number") + n).alias("number")), "_start")
+    due = numbered.join(days.filter("open").select("number", F.col("day").alias(out)), "number").drop("number")
     return df.join(due, df[date_col] == due["_start"], "left").drop("_start")
 
 
