@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -28,10 +30,21 @@ def monthly_events(events: DataFrame) -> DataFrame:
     return period_keys(m)
 
 
-def annual_denominators(denoms: DataFrame, monthly: DataFrame) -> DataFrame:
-    """L2 + C3: mean monthly births per site and year, for the years some event needs."""
+def match_keys(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Equi-join in which a null key matches a null key; the columns of ``left``, then the others of ``right``.
+
+    Still an equi-join for the planner (hashed or sorted by key); rows without a key all share one, so ``right`` should
+    have been grouped by the keys.
+    """
+    named = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, (left[c].eqNullSafe(named[f"_right_{c}"]) for c in on))
+    return left.join(named, same, how).drop(*(f"_right_{c}" for c in on))
+
+
+def annual_denominators(denoms: DataFrame, monthly: DataFrame, null_safe: bool = False) -> DataFrame:
+    """L2 + C3: mean monthly births per site and year, for the years some event needs (also no year, if ``null_safe``)."""
     needed = monthly.select(F.col("denom_period").alias("Year")).distinct()
-    d = denoms.join(needed, "Year", "left_semi")
+    d = match_keys(denoms, needed, ["Year"], "left_semi") if null_safe else denoms.join(needed, "Year", "left_semi")
     return (d.groupBy("Site_Code", "Year")
             .agg(F.avg("Term_Births").alias("Monthly_Term_Births"),
                  F.avg("Term_Live_Births").alias("Monthly_Term_Live_Births")))
@@ -86,6 +99,20 @@ def month_grid(monthly: DataFrame, annual: DataFrame, rates: DataFrame, measure:
                     _event_year(F.col("year_month")).alias("Event_Year"), "denominator", *([year_start] if year_start else []))
 
 
+def null_safe_grid(monthly: DataFrame, annual: DataFrame, rates: DataFrame, measure: str = "All") -> DataFrame:
+    """L3 + L4 with blank keys kept (C8): events without a site or a month make a site and a month of their own,
+    and a null site, month, year or period matches a null one. Charts need a month, so this grid is for review;
+    ``month_grid`` makes the chart's."""
+    months = monthly.agg(F.array_sort(F.collect_set(F.struct("year_month"))).alias("m")).scalar()  # a struct, as nulls alone are not collected
+    births = F.col("Monthly_Term_Births") if measure == "All" else F.col("Monthly_Term_Live_Births")
+    g = annual.select("Site_Code").distinct().select("Site_Code", F.inline(months))
+    g = period_keys(match_keys(g, monthly.select("Site_Code", "year_month", "monthly_count"), ["Site_Code", "year_month"]))
+    g = match_keys(g, annual.select("Site_Code", F.col("Year").alias("denom_period"), births.alias("denominator")), ["Site_Code", "denom_period"])
+    g = match_keys(g, rates.select(F.col("Year").alias("refrate_period"), "Ref_Rate"), ["refrate_period"])
+    return g.select("Site_Code", "year_month", F.coalesce("monthly_count", F.lit(0).cast("long")).alias("numerator"), "refrate_period",
+                    "Ref_Rate", _event_year(F.col("year_month")).alias("Event_Year"), "denominator")
+
+
 def site_month_grid(month_rows: DataFrame) -> DataFrame:
     """L3: the grid alone, with its period keys."""
     return period_keys(month_rows.select("Site_Code", "year_month", "numerator"))

@@ -9,6 +9,7 @@ from pyspark.sql import Row
 from signalwatch.operators.quality import raise_on_failure
 from signalwatch.plans.signal_plan import SignalFlow
 from signalwatch.plans.source_plan import SourceFlow
+from signalwatch.sources.commits import RunLog
 from signalwatch.sources.readers import read_register
 from signalwatch.sources.sinks import write_csv, write_dated, write_parquet, write_register
 
@@ -47,3 +48,24 @@ def run_signals(flow: SignalFlow, out_base: str) -> Row:
     if flow.folder:
         flow.folder.remove()
     return summary
+
+
+REGISTER_COLS = ["ID", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Date_Email"]
+
+
+def run_committed(flow: SignalFlow, out_base: str) -> Row:
+    """Signal run whose outputs become visible together (``sources.commits``): final table, signals, new signals,
+    register and summary, all parquet. It compares with the register of the newest known run of an earlier date."""
+    run_date, log = flow.p.run_date, RunLog(flow.events_in.sparkSession, out_base)
+    run = log.start(run_date)
+    if not flow.has_register:
+        flow.use_register(log.read("register", before=run_date))
+    flow.write_final(log.path(run, "final"))
+    outputs = {"signals": flow.register, "new_signals": flow.formatted.filter("Email_Trust = 1"),
+               "register": flow.new_register.select(*REGISTER_COLS), "summary": flow.summary}
+    for name, df in outputs.items():
+        write_parquet(df, log.path(run, name))
+    log.commit(run, run_date, ["final", *outputs])
+    if flow.folder:
+        flow.folder.remove()
+    return log.read("summary").first()

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from signalwatch.functions.dates import parse_date_any
 from signalwatch.functions.rounding import round6
-from signalwatch.operators import clean, cusum, workdays
-from signalwatch.plans.testbed_plan import FIXED_H, shared_flows, signal_from_source, source_flow
+from signalwatch.operators import carry, clean, cusum, grid, workdays
+from signalwatch.plans.testbed_plan import FIXED_H, refreshed, shared_flows, signal_from_source, source_flow
 from signalwatch.session import RunFolder
+from signalwatch.sources import testbed
+from signalwatch.sources.commits import RunLog
 from signalwatch.sources.readers import read_denoms, read_events, read_register, read_table, read_text
 from signalwatch.sources.sinks import write_csv, write_dated, write_parquet, write_register, write_table
 
@@ -209,6 +211,16 @@ def q_denominator_live(spark, d):
     return _r(f.df_for_cusum, "Ref_Rate", "denominator")
 
 
+@query("grid_null_keys")
+def q_grid_null_keys(spark, d):
+    """The grid of events and denominators some of which lack a site, a month or a year; blank keys match blank ones."""
+    f = _sig(spark, d)
+    events, denoms = testbed.with_blank_keys(f.events_in, f.denoms_in)
+    monthly = grid.monthly_events(events)
+    g = grid.null_safe_grid(monthly, grid.annual_denominators(denoms, monthly, null_safe=True), f.rates)
+    return _r(g, "Ref_Rate", "denominator")
+
+
 @query("cusum_parameters")
 def q_cusum_parameters(spark, d):
     c = _sig(spark, d).control
@@ -304,6 +316,27 @@ def q_signal_lines(spark, d):
     return _sig(spark, d).lines
 
 
+# ------------------------------------------------- incremental refresh
+@query("refresh_chart")
+def q_refresh_chart(spark, d):
+    """The chart after a second run that went on from the first one's state."""
+    c = carry.current(spark, refreshed(spark, d), "chart")
+    return _k2(c.select("Site_Code", "year_month", "numerator", "k", "h_L2", "Cusum_Statistic"))
+
+
+@query("refresh_line")
+def q_refresh_line(spark, d):
+    """The daily line after a second run that went on from the first one's state."""
+    return _r(carry.current(spark, refreshed(spark, d), "line"), "cmltv_excess_events")
+
+
+@query("refresh_sites")
+def q_refresh_sites(spark, d):
+    """Which sites the second run continued (the others had late events), and their last closed month."""
+    s = carry.current_state(spark, refreshed(spark, d))
+    return s.select("Site_Code", "upto", (F.col("since") < F.col("run_date")).alias("continued"))
+
+
 # ------------------------------------------------------- daily line
 @query("event_tooltip_day")
 def q_event_tooltip_day(spark, d):
@@ -457,6 +490,19 @@ def q_register_history(spark, d):
     return first.unionByName(second)
 
 
+@query("committed_register")
+def q_committed_register(spark, d):
+    """The register of the newest finished run; a later one has written its outputs but not its commit."""
+    flow, log = _sig(spark, d), RunLog(spark, _folder(spark))
+    for days, reg, done in ((14, flow.old_register, True), (7, flow.new_register, True), (0, flow.new_register.limit(0), False)):
+        day = flow.p.run_date - dt.timedelta(days=days)
+        run = log.start(day)
+        write_parquet(reg, log.path(run, "register"))
+        if done:
+            log.commit(run, day, ["register"])
+    return log.read("register")
+
+
 @query("dated_signals")
 def q_dated_signals(spark, d):
     """The day's signals as a dated snapshot; a second write of the day replaces only that day."""

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import SparkSession
 
+from signalwatch.operators import carry
 from signalwatch.params import SignalParams, SourceParams
 from signalwatch.plans.signal_plan import SignalFlow
 from signalwatch.plans.source_plan import SourceFlow
+from signalwatch.session import RunFolder
 from signalwatch.sources import testbed as tb
 
 # Oracle-checked queries use literal decision intervals so that the CUSUM and
@@ -41,6 +44,7 @@ def signal_from_source(src: SourceFlow, fixed, persist: bool, measure: str = "Al
 
 
 _CACHE: dict = {}
+_REFRESHED: dict = {}
 
 
 def shared_flows(spark: SparkSession, sf_dir: str):
@@ -59,12 +63,30 @@ def shared_flows(spark: SparkSession, sf_dir: str):
     return _CACHE[key]
 
 
+def refreshed(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of two incremental runs: one on the first extract, a week later one on the whole events."""
+    flows, key = shared_flows(spark, sf_dir), (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REFRESHED:
+        full, src = flows["fixed"], flows["src"]
+        params = SignalParams(run_date=tb.RUN_DATE - dt.timedelta(days=7), fixed_thresholds=FIXED_H)
+        first = SignalFlow(tb.first_extract(full.events_in), full.denoms_in, full.rates, src.provider, params)
+        folder = RunFolder(spark)
+        for flow in (first, full):
+            carry.refresh(flow.with_thresholds, flow.daily, folder.path, flow.p.run_date)
+        first.folder.remove()
+        _REFRESHED[key] = folder
+    return _REFRESHED[key].path
+
+
 def forget() -> None:
     """Drop the shared flows and their written tables."""
     for flows in _CACHE.values():
         for flow in flows.values():
             flow.folder.remove()
+    for folder in _REFRESHED.values():
+        folder.remove()
     _CACHE.clear()
+    _REFRESHED.clear()
 
 
 def signals_from_outputs(spark: SparkSession, sf_dir: str, source_out: str) -> SignalFlow:

@@ -179,6 +179,27 @@ def with_unkeyed(events: DataFrame) -> DataFrame:
     return events.unionByName(lost)
 
 
+def with_blank_keys(events: DataFrame, denoms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events and denominators, and second rows of theirs with a blank key: the events of a month's 29th without a
+    month and of its 28th without a site, June's denominators without a site and July's without a year."""
+    day, month = F.dayofmonth("test_date"), F.month("Period")
+    blank = F.lit(None).cast("string")
+    events = (events.unionByName(events.filter(day == 29).withColumn("year_month", blank))
+              .unionByName(events.filter(day == 28).withColumn("Site_Code", blank)))
+    denoms = (denoms.unionByName(denoms.filter(month == 6).withColumn("Site_Code", blank))
+              .unionByName(denoms.filter(month == 7).withColumn("Year", F.lit(None).cast("int"))))
+    return events, denoms
+
+
+def first_extract(events: DataFrame) -> DataFrame:
+    """What an earlier run got of the events: none of the last two months, and the sites of every fifth supplier had not
+    sent the events of a month's third day yet."""
+    newest = events.agg(F.max("year_month")).scalar()
+    cut = F.date_format(F.add_months(F.to_date(F.concat(newest, F.lit("-01"))), -1), "yyyy-MM")
+    late = (F.substring("Site_Code", 4, 12).try_cast("long") % 5 == 2) & (F.dayofmonth("test_date") == 3)
+    return events.filter((F.col("year_month") < cut) & ~F.coalesce(late, F.lit(False)))
+
+
 def reference_rates(events: DataFrame, denoms: DataFrame) -> DataFrame:
     """National rate for each event year Y, labelled 'Y-3 - Y-1': events / term births of those of its years that have births.
 
