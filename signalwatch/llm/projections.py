@@ -59,17 +59,30 @@ def least_count(lines: int, chance: float, recall: float) -> int:
     return at
 
 
+def window_pairs(x: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a < b) that collide on a line: in sorted order, each vector with those behind it in its window."""
+    order = np.argsort(x, kind="stable")
+    at = x[order].astype(np.int64)
+    here = np.arange(len(x))
+    many = np.searchsorted(at, at + window, "right") - here - 1
+    left = np.repeat(here, many)
+    right = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many) + left + 1
+    a, b = order[left], order[right]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
 def collision_groups(places: np.ndarray, window: int, first_least: int, least: int) -> list[np.ndarray]:
-    """Connected groups of the pairs whose window collisions reach ``least`` (``first_least`` on the first lines)."""
+    """Connected groups of the pairs whose window collisions reach ``least`` (``first_least`` on the first lines).
+
+    The windows of the first lines are walked along their sorted order; pairs that
+    collide often enough there look up whether they collide on each other line.
+    """
     n, lines = places.shape
-    count = np.zeros((n, n), np.uint8)
+    count = np.zeros(n * n, np.uint8)
     for k in range(min(FIRST, lines)):
-        order = np.sort(places[:, k])
-        low = order[np.searchsorted(order, places[:, k] - window)]
-        high = order[np.searchsorted(order, places[:, k] + window, "right") - 1]
-        x = places[:, k].astype(np.int32)
-        count += (x[None] >= low[:, None]) & (x[None] <= high[:, None])
-    i, j = np.nonzero(np.triu(count >= first_least, 1))
+        a, b = window_pairs(places[:, k], window)
+        count[a * n + b] += 1  # a pair is met once on a line
+    i, j = np.divmod(np.flatnonzero(count >= first_least), n) if first_least else np.triu_indices(n, 1)
     ok = np.zeros((n, n), bool)
     for lo in range(0, len(i), 200_000):
         a, b = i[lo:lo + 200_000], j[lo:lo + 200_000]

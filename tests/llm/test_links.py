@@ -238,3 +238,24 @@ def test_stages_on_odd_rows_and_empty_tables(spark, odd, nothing, tmp_path):
             if name != "packing":
                 assert after.columns == docs.columns
                 docs = after
+
+
+def test_windows_are_walked_in_sorted_order():
+    """Each colliding pair once on a line, no other pair looked at; groups as of all pairs."""
+    from signalwatch.llm import projections as P
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((40, 24))
+    x = np.concatenate([centres + s * rng.standard_normal(centres.shape) for s in (0, 0.05, 0.2)])
+    index = P.Index(P.unit_rows([v.tobytes() for v in x]), len(x), 0.95, 0.99)
+    places = index.places(P.unit_rows([v.tobytes() for v in x])).astype(np.int32)
+    places[:7, 0] = places[0, 0]  # ties
+    n, close = len(x), np.abs(places[:, None] - places[None]) <= index.window
+    for k in range(P.FIRST):
+        a, b = P.window_pairs(places[:, k], index.window)
+        assert (a < b).all() and len(set(zip(a.tolist(), b.tolist()))) == len(a) < n * (n - 1) / 2
+        assert sorted(zip(a.tolist(), b.tolist())) == [tuple(p) for p in np.argwhere(np.triu(close[:, :, k], 1)).tolist()]
+    ok = (close[:, :, :P.FIRST].sum(2) >= index.first_least) & (close.sum(2) >= index.least)
+    np.fill_diagonal(ok, False)
+    got = P.collision_groups(places, index.window, index.first_least, index.least)
+    assert [g.tolist() for g in got] == [g.tolist() for g in P.groups_of(ok)] and got
+    assert P.window_pairs(np.zeros(0, np.int32), 5)[0].tolist() == [] == P.window_pairs(np.zeros(1, np.int32), 5)[0].tolist()
