@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalwatch.operators import cusum, lines, vlad
-from signalwatch.session import path_exists
+from signalwatch.session import RunFolder, path_exists
 from signalwatch.sources.sinks import write_dated
 
 MONTH_INPUTS = ["year_month", "numerator", "Ref_Rate", "denominator", "k", "h_L1", "h_L2"]
@@ -66,17 +66,24 @@ def chart_after(months: DataFrame, kept: DataFrame, run_date: dt.date) -> DataFr
     return lines.chart_dates(lines.signal_level(cusum.cusum_reset(todo, start="_s0", raw="_S"))).drop("_s0")
 
 
-def line_after(chart: DataFrame, daily: DataFrame, kept: DataFrame) -> DataFrame:
-    """The daily line of the chart's months, running on from each site's excess."""
+def _line_inputs(chart: DataFrame, daily: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """The chart's months, the events after each kept site's state, and the column with the excess to go on from."""
     later = daily.join(kept.select("Site_Code", "upto"), "Site_Code", "left")
     later = later.filter(F.col("upto").isNull() | (_month("test_date") > F.col("upto"))).drop("upto")
-    return vlad.vlad(chart.withColumnRenamed("Cusum_Period", "Date"), later, start="_x0")
+    return chart.withColumnRenamed("Cusum_Period", "Date"), later, "_x0"
+
+
+def line_after(chart: DataFrame, daily: DataFrame, kept: DataFrame) -> DataFrame:
+    """The daily line of the chart's months, running on from each site's excess."""
+    return vlad.vlad(*_line_inputs(chart, daily, kept))
 
 
-def state_after(chart: DataFrame, line: DataFrame, kept: DataFrame, months: DataFrame, daily: DataFrame) -> DataFrame:
-    """The state at the end of the closed months: the last of the new ones, or the kept one where there is none."""
+def state_after(chart: DataFrame, kept: DataFrame, months: DataFrame, daily: DataFrame) -> DataFrame:
+    """The state at the end of the closed months: the last of the new ones, or the kept one where there is none.
+    The excess comes from the months, as the line's does, so the line is not read for it."""
     last = chart.filter("closed").groupBy("Site_Code").agg(F.max(F.struct("year_month", "_S", "since")).alias("c"))
-    total = line.filter("closed").groupBy("Site_Code").agg(F.max(F.struct("Date_VLAD", "cmltv_excess_events")).alias("d"))
+    total = (vlad.month_ends(*_line_inputs(chart.filter("closed"), daily, kept)).groupBy("Site_Code")
+             .agg(F.max(F.struct("Date_VLAD", "cmltv_excess_events")).alias("d")))
     new = last.join(total, "Site_Code").select(
         "Site_Code", F.col("c.year_month").alias("upto"), F.col("c._S").alias("statistic"),
         F.col("d.cmltv_excess_events").alias("excess"), F.col("c.since").alias("since"))
@@ -102,19 +109,22 @@ def refresh(months: DataFrame, daily: DataFrame, base: str, run_date: dt.date, o
     (written tables, as they are read more than once); chart, line and state go to ``base`` under the run's date."""
     spark = months.sparkSession
     state, _ = _newest(spark, base, run_date)
+    folder = RunFolder(spark)
     if state is None:
-        state = spark.createDataFrame([], "Site_Code string, upto string, statistic double, excess double, since date, n long, mark long")
+        kept = spark.createDataFrame([], "Site_Code string, upto string, statistic double, excess double, since date, n long, mark long")
+    else:  # a row per site, read by all that follows
+        kept = folder.keep(unchanged(months, daily, state), "kept")
     newest = months.agg(F.max("year_month")).scalar()
     closed = F.date_format(F.add_months(F.to_date(F.concat(newest, F.lit("-01"))), -open_months), "yyyy-MM")
-    kept = unchanged(months, daily, state)
     chart = chart_after(months, kept, run_date)
     write_dated(chart.withColumn("closed", F.col("year_month") <= closed), os.path.join(base, "chart"), run_date)
     here = F.col("run_date") == F.lit(run_date)
-    chart = spark.read.parquet(os.path.join(base, "chart")).filter(here).drop("run_date")
-    line = line_after(chart, daily, kept).withColumn("closed", _month("Date_VLAD") <= closed)
+    # a number of its own: the months are few bytes and would be read by few tasks, which make thirty days of each
+    chart = spark.read.parquet(os.path.join(base, "chart")).filter(here).drop("run_date").repartition(folder.buckets, "Site_Code")
+    line = line_after(chart, daily, kept).withColumn("closed", F.col("Date_VLAD") <= F.last_day(F.to_date(F.concat(closed, F.lit("-01")))))
     write_dated(line, os.path.join(base, "line"), run_date)
-    line = spark.read.parquet(os.path.join(base, "line")).filter(here)
-    write_dated(state_after(chart, line, kept, months, daily), os.path.join(base, "state"), run_date)
+    write_dated(state_after(chart, kept, months, daily), os.path.join(base, "state"), run_date)
+    folder.remove()
 
 
 def current_state(spark: SparkSession, base: str) -> DataFrame:
@@ -124,7 +134,8 @@ def current_state(spark: SparkSession, base: str) -> DataFrame:
 
 def current(spark: SparkSession, base: str, name: str) -> DataFrame:
     """All valid rows of ``name`` (chart or line): those of the newest run, and the closed months that earlier runs
-    wrote for sites whose series they began or continued."""
+    wrote for sites whose series they began or continued. The sites, one narrow row each, go to the old rows; these,
+    thirty for each month, are not dealt out for them."""
     state, day = _newest(spark, base, None)
     if state is None:
         raise ValueError(f"no finished run in {base}")
@@ -132,5 +143,5 @@ def current(spark: SparkSession, base: str, name: str) -> DataFrame:
     new = rows.filter(F.col("run_date") == F.lit(day))
     old = rows.filter("closed").filter(F.col("run_date") < F.lit(day))
     began = state.select("Site_Code", F.col("since").alias("_since"))
-    old = old.join(began, "Site_Code").filter(F.col("run_date") >= F.col("_since")).drop("_since")
+    old = old.join(F.broadcast(began), "Site_Code").filter(F.col("run_date") >= F.col("_since")).drop("_since")
     return new.unionByName(old.select(*new.columns)).drop("closed", "run_date", "since", "_S", "_x0")

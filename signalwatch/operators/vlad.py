@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,19 +38,54 @@ def daily_expand(monthly: DataFrame) -> DataFrame:
                           F.explode(F.sequence(first, F.last_day("Date"))).alias("Date_VLAD"))
 
 
-def _day_rows(monthly: DataFrame, others: list[Column]) -> DataFrame:
-    """H4 as the first part of a union: the days of each charted month with their expected events, the month's level and ``others``.
+def _months(monthly: DataFrame, daily: DataFrame, start: str | None = None, lines: DataFrame | None = None, line_cols: list[str] = ()) -> DataFrame:
+    """One row per charted month with its events by day, its chart rows (with ``lines``) and the running excess:
+    ``_before`` is that at its start, ``_end`` that at its end.
 
-    All columns but the site come from the generator. A projection above it would hide
-    from the union that its rows are still bucketed by site.
+    Months, event days and chart rows are unioned and grouped by (site, month), and the excess runs over a site's
+    months; so all that is dealt out, sorted or windowed has a few rows a month, never one a day. A site's months are
+    bounded by the calendar whatever the event volume. Event days and chart rows outside the charted months drop out.
     """
-    days = F.sequence(F.trunc("Date", "month"), F.last_day("Date"))
+    births_in_day = F.col("denominator") / F.dayofmonth(F.last_day("Date"))
+    month = F.struct("Date", (births_in_day * F.col("Ref_Rate")).alias("expected"), F.col("Level_of_Signal").alias("flag"),
+                     *([F.col(start).cast("double").alias("start")] if start else []))
+    parts = {"m": (monthly, "Date", month),
+             "e": (daily, "test_date", F.struct(F.col("test_date").alias("d"), F.col("daily_count").alias("n"), F.col("Event_Type").alias("text")))}
+    if lines is not None:
+        parts["l"] = (lines, "Date", F.struct(F.col("Date").alias("d"), *line_cols))
+    types = {k: df.select(row.alias(k)).schema[k].dataType for k, (df, _, row) in parts.items()}
+    rows = [df.select("Site_Code", F.trunc(day, "month").alias("_month"),
+                      *((row if k == own else F.lit(None).cast(types[k])).alias(k) for k in types)) for own, (df, day, row) in parts.items()]
+    g = reduce(DataFrame.unionByName, rows).groupBy("Site_Code", "_month").agg(
+        F.first("m", ignorenulls=True).alias("m"), *(F.collect_list(k).alias(k) for k in types if k != "m")).filter("m is not null")
+    by_month = Window.partitionBy("Site_Code").orderBy("_month")
+    events = F.aggregate("e", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    own = events - F.col("m.expected") * F.dayofmonth(F.last_day("m.Date"))
+    at_start = F.col("m.start") if start else F.lit(0.0)
+    first = F.row_number().over(by_month) == 1
+    g = g.select("*", F.when(first, at_start + own).otherwise(own).alias("_own"), first.alias("_first"))
+    upto = by_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.count_if(F.col("_own").isNull()).over(upto) == 0
+    before = F.when(F.col("_first"), at_start).otherwise(F.sum("_own").over(by_month.rowsBetween(Window.unboundedPreceding, -1)))
+    return g.select("Site_Code", *(k for k in types if k != "m"), "m.Date", "m.expected", "m.flag",
+                    F.when(known, before).alias("_before"), F.when(known, F.sum("_own").over(upto)).alias("_end"))
+
+
+def _days(months: DataFrame, lined: bool = False) -> DataFrame:
+    """H4: the days of each row of ``_months``, with the running excess, the day's count, text and flag and, if ``lined``,
+    its chart rows as an array. The flag is the month's level only on days with events."""
+    others = [c for c in months.columns if c not in ("e", "l", "expected", "flag", "Date", "_before", "_end")]
 
     def row(d: Column) -> Column:
-        births_in_day = F.col("denominator") / F.dayofmonth(F.last_day(d))
-        return F.struct(d.alias("d"), F.lit(1).alias("_kind"), (births_in_day * F.col("Ref_Rate")).alias("_expected"),
-                        F.col("Level_of_Signal").alias("Signal_Flag"), *others)
-    return monthly.select("Site_Code", F.inline(F.transform(days, row)))
+        none, some = F.lit(0).cast("long"), F.size("e") > 0  # many months have no event
+        seen = F.when(some, F.aggregate("e", none, lambda a, x: a + F.when(x["d"] <= d, x["n"]).otherwise(none))).otherwise(none)
+        return F.struct(d.alias("d"), seen.alias("seen"), F.when(some, F.get(F.filter("e", lambda x: x["d"] == d), F.lit(0))).alias("here"),
+                        *([F.filter("l", lambda x: x["d"] == d).alias("chart")] if lined else []))
+    days = months.select(*others, "expected", "flag", "_before", F.inline(F.transform(F.sequence(F.trunc("Date", "month"), F.last_day("Date")), row)))
+    cnt = F.coalesce(F.col("here.n"), F.lit(0).cast("long"))
+    return days.select(*others, "d", (F.col("_before") + (F.col("seen") - F.col("expected") * F.dayofmonth("d"))).alias("cum"),
+                       cnt.alias("cnt"), F.when(cnt > 0, F.col("flag")).otherwise(0).alias("flag"), F.col("here.text").alias("text"),
+                       *(["chart"] if lined else []))
 
 
 def vlad(monthly: DataFrame, daily: DataFrame, start: str | None = None) -> DataFrame:
@@ -56,47 +93,24 @@ def vlad(monthly: DataFrame, daily: DataFrame, start: str | None = None) -> Data
     observed - expected; cumulative excess per site in date order. The day's flag is
     the month's level only on days with events.
 
-    One shuffle for the whole daily line: the day rows and the per-day event rows
-    are unioned and partitioned by site once. Ordered by (date, kind) the event
-    row of a day sorts right before the day row, so ``lag`` hands each day its
-    count and tooltip (the left join of the reference without a second
-    exchange); the running sum then uses the same partitioning and a prefix of
-    the same ordering, so Spark adds neither a shuffle nor a sort. Partitions
-    hold one site's days, bounded by the calendar whatever the event volume.
+    The running excess is worked out month by month (``_months``); each month then makes its days where it lies.
+    A day's excess is that before its month, and its month's events less expected ones up to the day.
 
     As in the reference a missing expected value makes the running total missing
     from that day on (a plain window SUM would skip it).
 
     ``start`` names a column of ``monthly`` with the running total before the site's
-    first row (the same in all of its rows); it goes into the first day's excess, so
-    the sum takes the same steps as one over all days.
+    first row (the same in all of its rows); it goes into the first month's excess, so
+    the sum takes the same steps as one over all months.
     """
-    before = [F.col(start).alias("_before")] if start else []
-    none_before = [F.lit(None).cast("double").alias("_before")] if start else []
-    days = _day_rows(monthly, [F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type"), *before])
-    ev = daily.select(
-        "Site_Code", F.col("test_date").alias("d"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("double").alias("_expected"),
-        F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type", *none_before)
-    by_day = Window.partitionBy("Site_Code").orderBy("d", "_kind")
-    same_day = (F.lag("_kind").over(by_day) == 0) & (F.lag("d").over(by_day) == F.col("d"))
-    u = days.unionByName(ev).select(
-        "Site_Code", "d", "_kind", "_expected", "Signal_Flag",
-        F.when(same_day, F.lag("daily_count").over(by_day)).alias("cnt"),
-        F.when(same_day, F.lag("Event_Type").over(by_day)).alias("Event_Type"), *(["_before"] if start else []))
-    j = u.filter(F.col("_kind") == 1)
-    cnt = F.coalesce(F.col("cnt"), F.lit(0).cast("long"))
-    excess = cnt - F.col("_expected")
-    if start:
-        excess = F.when(F.row_number().over(Window.partitionBy("Site_Code").orderBy("d")) == 1, excess + F.col("_before")).otherwise(excess)
-    w = Window.partitionBy("Site_Code").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = j.select("Site_Code", "d", "Signal_Flag", "Event_Type", cnt.alias("daily_count"),
-                 excess.alias("excess_events"))
-    cum = F.when(F.count_if(F.col("excess_events").isNull()).over(w) > 0, F.lit(None).cast("double")) \
-           .otherwise(F.sum("excess_events").over(w))
-    return j.select(F.col("d").alias("Date_VLAD"), "Site_Code", cum.alias("cmltv_excess_events"),
-                    F.when(F.col("daily_count") > 0, F.col("Signal_Flag")).otherwise(0).alias("Signal_Flag"),
-                    "daily_count", "Event_Type")
+    return _days(_months(monthly, daily, start)).select(
+        F.col("d").alias("Date_VLAD"), "Site_Code", F.col("cum").alias("cmltv_excess_events"), F.col("flag").alias("Signal_Flag"),
+        F.col("cnt").alias("daily_count"), F.col("text").alias("Event_Type"))
+
+
+def month_ends(monthly: DataFrame, daily: DataFrame, start: str | None = None) -> DataFrame:
+    """The running excess at the last day of each charted month: the same value as the daily line's."""
+    return _months(monthly, daily, start).select("Site_Code", F.last_day("Date").alias("Date_VLAD"), F.col("_end").alias("cmltv_excess_events"))
 
 
 CHART_COLS = ["Date_of_signal", "Cusum_Statistic", "Level_of_Signal", "Reset_Flag", "Events_Desc", "Level1_6months",
@@ -104,77 +118,31 @@ CHART_COLS = ["Date_of_signal", "Cusum_Statistic", "Level_of_Signal", "Reset_Fla
 
 
 def final_table(monthly: DataFrame, daily: DataFrame, lines: DataFrame, provider: DataFrame, extra: list[str] = ()) -> DataFrame:
-    """L17-L19 in one shuffle: daily line, site names and chart rows of the same day; the excess is
+    """L17-L19 in one plan: daily line, site names and chart rows of the same day; the excess is
     blanked on level-2 threshold rows. A day may carry several chart rows.
 
-    Event rows (kind 0), day rows (kind 1) and chart-line rows (kind 2) are
-    unioned and partitioned by site once, ordered by (date, kind):
-
-    * a day row takes its count and tooltip from the event row just before it
-      (``lag``) and its running excess from a running window over day rows;
-    * a chart row takes the values of its day from the day row just before it
-      (``last`` ignoring other kinds); chart rows on dates without a day row
-      drop out, as in the reference's left join from the daily line;
-    * a day row followed by a chart row of the same date is replaced by those
-      chart rows (``lead``), so a day appears once per chart row, or once alone.
+    Months, event days and chart rows meet by (site, month), and the excess runs over months (``_months``). The site's
+    names join there too. Each month then makes its days, and a day its chart rows, where the month lies: a day
+    appears once per chart row, or once alone; chart rows on dates without a charted month drop out, as in the
+    reference's left join from the daily line.
 
     ``extra`` names further columns of the chart rows to carry along (the notification
     columns; a day without a chart row is not notified).
 
-    The three windows share partitioning and ordering, so Spark adds no shuffle
-    or sort between them. Same rows as the daily line left-joined to the chart rows.
+    Same rows as the daily line left-joined to the chart rows and the sites; no row of a day is dealt out or sorted.
     """
     line_cols = [*CHART_COLS, *extra]
-    line_types = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
-    nulls_line = [F.lit(None).cast(line_types[c]).alias(c) for c in line_cols]
-    days = _day_rows(monthly, [*nulls_line, F.lit(None).cast("long").alias("daily_count"), F.lit(None).cast("string").alias("Event_Type")])
-    ev = daily.select(
-        "Site_Code", F.col("test_date").alias("d"), F.lit(0).alias("_kind"),
-        F.lit(None).cast("double").alias("_expected"),
-        F.lit(None).cast("int").alias("Signal_Flag"), "daily_count", "Event_Type", *nulls_line)
-    ln = lines.select(
-        "Site_Code", F.col("Date").alias("d"), F.lit(2).alias("_kind"),
-        F.lit(None).cast("double").alias("_expected"),
-        F.lit(None).cast("int").alias("Signal_Flag"), F.lit(None).cast("long").alias("daily_count"),
-        F.lit(None).cast("string").alias("Event_Type"), *line_cols)
-    order = Window.partitionBy("Site_Code").orderBy("d", "_kind")
-    run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kind, d = F.col("_kind"), F.col("d")
-    # pass 1: the day's events, and whether chart rows follow on the same date
-    ev_here = (F.lag("_kind").over(order) == 0) & (F.lag("d").over(order) == d)
-    u = days.unionByName(ev).unionByName(ln).select(
-        "Site_Code", "d", "_kind", "_expected", "Signal_Flag", *line_cols,
-        F.when(kind == 1, F.coalesce(F.when(ev_here, F.lag("daily_count").over(order)),
-                                     F.lit(0).cast("long"))).alias("cnt"),
-        F.when((kind == 1) & ev_here, F.lag("Event_Type").over(order)).alias("Event_Type"),
-        ((F.lead("_kind").over(order) == 2) & (F.lead("d").over(order) == d)).alias("_lined"))
-    # pass 2: running excess over the day rows
-    excess = F.col("cnt") - F.col("_expected")
-    u = u.withColumn("_excess", F.when(kind == 1, excess))
-    cum = F.when(F.count_if((kind == 1) & F.col("_excess").isNull()).over(run) > 0, F.lit(None).cast("double")) \
-           .otherwise(F.sum("_excess").over(run))
-    u = u.withColumn("_cum", F.when(kind == 1, cum))
-    # pass 3: chart rows take the values of the day row before them
-    day_vals = F.struct(d.alias("dd"), F.col("_cum").alias("cum"),
-                        F.when(F.col("cnt") > 0, F.col("Signal_Flag")).otherwise(0).alias("flag"),
-                        F.col("Event_Type").alias("et"))
-    u = u.withColumn("_day", F.last(F.when(kind == 1, day_vals), ignorenulls=True).over(run))
-    keep = ((kind == 1) & ~F.coalesce(F.col("_lined"), F.lit(False))) | ((kind == 2) & (F.col("_day.dd") == d))
-    out = u.filter(keep).select(
-        F.col("d").alias("Date"), "Site_Code",
-        F.col("_day.cum").alias("Excess_Events"), F.col("_day.flag").alias("Signal_Flag"),
-        F.col("_day.et").alias("Event_Type"), *line_cols)
     p = provider.select(F.col("Site_Code").alias("ps_site"), "Site_Name",
                         F.col("Trust_Code").alias("ODS_Code"), F.col("Trust_Name").alias("ODS_Name"))
-    j = out.join(p, out.Site_Code == p.ps_site, "left")
+    months = _months(monthly, daily, None, lines, line_cols)
+    days = _days(months.join(p, months.Site_Code == p.ps_site, "left").drop("ps_site"), lined=True)
+    names = ["Site_Code", "Site_Name", "ODS_Code", "ODS_Name"]
+    j = days.select("d", *names, "cum", "flag", "text", F.inline_outer("chart").alias("_d", *line_cols))
     lt = F.col("Line_Type")
-    exc = F.when(lt.isNull() | (lt != "Level2_Threshold"), F.col("Excess_Events"))
-    cols = ["Date", "Site_Code", "Site_Name", "ODS_Code", "ODS_Name", "Excess_Events", "Signal_Flag", "Event_Type",
-            *line_cols]
-    j = j.withColumn("Excess_Events", exc)
-    if "Email_Trust" in extra:
-        j = j.withColumn("Email_Trust", F.coalesce("Email_Trust", F.lit(0)))
-    return j.select(*cols)
+    exc = F.when(lt.isNull() | (lt != "Level2_Threshold"), F.col("cum"))
+    told = {c: F.coalesce(c, F.lit(0)).alias(c) for c in line_cols if c == "Email_Trust"}
+    return j.select(F.col("d").alias("Date"), *names, exc.alias("Excess_Events"), F.col("flag").alias("Signal_Flag"),
+                    F.col("text").alias("Event_Type"), *(told.get(c, F.col(c)) for c in line_cols))
 
 
 def with_site_names(v: DataFrame, provider: DataFrame) -> DataFrame:

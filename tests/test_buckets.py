@@ -50,3 +50,52 @@ def test_a_table_by_name(spark):
     assert got.schema == T.StructType([T.StructField("id", T.StringType())]) and got.count() == 5
     with pytest.raises(ValueError, match="lacks the columns"):
         read_table(spark, f"{run.name}_a", {"other": "string"})
+
+
+def test_day_rows_are_neither_sorted_nor_windowed(spark):
+    """The excess runs over months: above the generator of the days nothing sorts, windows or joins them."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        flow = shared_flows(spark, SF)["fixed"]
+        for df in (flow.vlad, flow.final, flow.notified_plan()):
+            above, found, _ = plan_of(df).partition("Generate inline(transform(sequence(trunc(Date")
+            assert found and not re.search(r"\b(Sort|Window|Exchange hash\w*|\w*Join)\b", above)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        forget()
+
+
+def test_days_of_a_second_run_are_not_dealt_out(spark, monkeypatch):
+    """The line of a refresh is made of months dealt out by site; its days and the old rows that are read again stay put."""
+    from signalwatch.operators import carry
+    from signalwatch.plans.testbed_plan import refreshed
+    plans, write = [], carry.write_dated
+    monkeypatch.setattr(carry, "write_dated", lambda df, path, day: (plans.append(plan_of(df)) if path.endswith("line") else None, write(df, path, day)))
+    for key, value in (("adaptive.enabled", "false"), ("autoBroadcastJoinThreshold", "-1")):
+        spark.conf.set(f"spark.sql.{key}", value)
+    try:
+        now = plan_of(carry.current(spark, refreshed(spark, SF), "line"))
+        assert len(plans) == 2 and "Exchange hash" not in now and "SortMergeJoin" not in now
+        for plan in plans:
+            above, found, _ = plan.partition("Generate inline(transform(sequence(trunc(Date")
+            assert found and not re.search(r"\b(Sort|Window|Exchange hash\w*|\w*Join)\b", above)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        forget()
+
+
+def test_births_are_not_dealt_out_for_reference_tables(spark):
+    """Derived reference tables are written, so the planner sees their sizes: with a limit far under the estimate of their
+    derivation, the births pass all of them without an exchange."""
+    from signalwatch.operators import clean
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        src = shared_flows(spark, "/root/testdata/sf0.01")["src"]
+        plan = plan_of(clean.with_trust(src.postcode_mapped, src.provider))
+        assert "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        forget()
