@@ -18,18 +18,32 @@ class SourceFlow:
     DISTINCT or distinct count removes anyway, and writes the cleaned births to
     the shared checkpoint folder once, so that the four outputs and the gates
     read them instead of re-running the chain. The gates are counted by the jobs
-    that write those tables.
+    that write those tables. The reference tables are written too: the planner then sees how small
+    they are, where the estimate of a derived table (the product of a join's sides) would make
+    it deal out all births once for each of them.
     """
 
     def __init__(self, raw: DataFrame, provider: DataFrame, mergers: DataFrame, pmap: DataFrame,
                  params: SourceParams = SourceParams(), fast: bool = False, persist: bool = False):
-        self.raw, self.provider, self.mergers, self.pmap = raw, provider, mergers, pmap
+        self.raw, self._provider, self._mergers, self._pmap = raw, provider, mergers, pmap
         self.p, self.fast, self.persist = params, fast, persist
         self.folder = RunFolder(raw.sparkSession) if persist else None
 
     def _keep(self, df: DataFrame, name: str, watched=None) -> DataFrame:
         return self.folder.keep(df, name, watched) if self.persist else df
 
+    @cached_property
+    def provider(self) -> DataFrame:
+        return self._keep(self._provider, "provider")
+
+    @cached_property
+    def mergers(self) -> DataFrame:
+        return self._keep(self._mergers, "mergers")
+
+    @cached_property
+    def pmap(self) -> DataFrame:
+        return self._keep(self._pmap, "postcode_map")
+
     @cached_property
     def births(self) -> DataFrame:          # J1 (PDS_raw)
         return clean.clean_births(self.raw, self.p.start_date, self.p.excluded_codes)
