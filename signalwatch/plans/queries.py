@@ -407,7 +407,8 @@ def q_final_notified(spark, d):
 @query("working_day_due")
 def q_working_day_due(spark, d):
     f = _sig(spark, d)
-    days = f.final.select(F.col("Date").alias("start_date")).distinct()
+    # written, a row a day: the calendar reads them for its years, its ends, its starts and the result
+    days = RunFolder(spark).keep(f.final.select(F.col("Date").alias("start_date")).distinct(), "start_dates")
     holidays = workdays.bank_holidays(workdays.years_between(days, "start_date", 1))
     return workdays.add_working_days(days, "start_date", f.p.checklist_working_days, holidays, "due_date")
 
