@@ -71,21 +71,39 @@ def _months(monthly: DataFrame, daily: DataFrame, start: str | None = None, line
                     F.when(known, before).alias("_before"), F.when(known, F.sum("_own").over(upto)).alias("_end"))
 
 
+def _bit(d: Column) -> Column:
+    """The bit of a day in its month's set of marked days."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth(d))
+
+
 def _days(months: DataFrame, lined: bool = False) -> DataFrame:
     """H4: the days of each row of ``_months``, with the running excess, the day's count, text and flag and, if ``lined``,
-    its chart rows as an array. The flag is the month's level only on days with events."""
-    others = [c for c in months.columns if c not in ("e", "l", "expected", "flag", "Date", "_before", "_end")]
+    its chart rows as an array. The flag is the month's level only on days with events.
 
-    def row(d: Column) -> Column:
-        none, some = F.lit(0).cast("long"), F.size("e") > 0  # many months have no event
-        seen = F.when(some, F.aggregate("e", none, lambda a, x: a + F.when(x["d"] <= d, x["n"]).otherwise(none))).otherwise(none)
-        return F.struct(d.alias("d"), seen.alias("seen"), F.when(some, F.get(F.filter("e", lambda x: x["d"] == d), F.lit(0))).alias("here"),
-                        *([F.filter("l", lambda x: x["d"] == d).alias("chart")] if lined else []))
-    days = months.select(*others, "expected", "flag", "_before", F.inline(F.transform(F.sequence(F.trunc("Date", "month"), F.last_day("Date")), row)))
-    cnt = F.coalesce(F.col("here.n"), F.lit(0).cast("long"))
-    return days.select(*others, "d", (F.col("_before") + (F.col("seen") - F.col("expected") * F.dayofmonth("d"))).alias("cum"),
-                       cnt.alias("cnt"), F.when(cnt > 0, F.col("flag")).otherwise(0).alias("flag"), F.col("here.text").alias("text"),
-                       *(["chart"] if lined else []))
+    A month marks its days with events or chart rows, a few of its thirty, and works out there what they carry. A day then
+    counts the marked days up to itself in a set of bits and looks up the last of them, so nothing is searched day by day.
+    """
+    others = [c for c in months.columns if c not in ("e", "l", "expected", "flag", "Date", "_before", "_end")]
+    none = F.lit(0).cast("long")
+
+    def mark(d: Column) -> Column:
+        here = F.get(F.filter("e", lambda x: x["d"] == d), F.lit(0))
+        return F.struct(F.aggregate("e", none, lambda a, x: a + F.when(x["d"] <= d, x["n"]).otherwise(none)).alias("seen"),
+                        here["n"].alias("n"), here["text"].alias("text"), *([F.filter("l", lambda x: x["d"] == d).alias("chart")] if lined else []))
+    day_of = lambda rows: F.transform(rows, lambda x: x["d"])
+    marked = F.array_sort(F.array_union(day_of("e"), day_of("l")) if lined else day_of("e"))
+    m = months.select(*others, "Date", "expected", "flag", "_before", "e", *(["l"] if lined else []), marked.alias("_marked"))
+    m = m.select(*others, "Date", "expected", "flag", "_before", F.transform("_marked", mark).alias("_marks"),
+                 F.aggregate("_marked", none, lambda a, d: a.bitwiseOR(_bit(d))).alias("_bits"))
+    days = m.select(*others, "expected", "flag", "_before", "_marks", "_bits", F.inline(
+        F.transform(F.sequence(F.trunc("Date", "month"), F.last_day("Date")), lambda d: F.struct(d.alias("d")))))
+    bit = _bit(F.col("d"))
+    last = F.get("_marks", F.bit_count(F.col("_bits").bitwiseAND(bit * 2 - 1)) - 1)
+    here = F.when(F.col("_bits").bitwiseAND(bit) != 0, last)
+    cnt = F.coalesce(here["n"], none)
+    return days.select(*others, "d", (F.col("_before") + (F.coalesce(last["seen"], none) - F.col("expected") * F.dayofmonth("d"))).alias("cum"),
+                       cnt.alias("cnt"), F.when(cnt > 0, F.col("flag")).otherwise(0).alias("flag"), here["text"].alias("text"),
+                       *([here["chart"].alias("chart")] if lined else []))
 
 
 def vlad(monthly: DataFrame, daily: DataFrame, start: str | None = None) -> DataFrame:
